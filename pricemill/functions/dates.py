@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pricemill.functions import ColumnLike, as_column
+from pricemill.functions.text import strip
 
 # The date shapes of the three report families. One-letter day and month
 # fields accept one and two digits.
@@ -21,7 +22,7 @@ MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct",
 
 def parse_date(c: ColumnLike, *formats: str) -> Column:
     """First format that fits wins; NULL when none does."""
-    text = F.trim(as_column(c))
+    text = strip(c)
     shapes = formats or (ISO_DATE, REPORT_DATE, SHEET_DATE, SECTION_DATE)
     return F.coalesce(*[F.try_to_date(text, shape) for shape in shapes])
 

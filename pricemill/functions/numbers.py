@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pricemill.functions import ColumnLike, as_column
+from pricemill.functions.text import strip
 
 WHOLE_TYPES = ("int", "bigint")
 
@@ -13,7 +14,7 @@ def plain_number(c: ColumnLike, kind: str = "double") -> Column:
 
     Whole kinds drop the fraction ('1.5' is 1) and give NULL when the value does not fit.
     """
-    text = F.trim(as_column(c).cast("string"))
+    text = strip(as_column(c).cast("string"))
     real = F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
     if kind not in WHOLE_TYPES:
         return real if kind == "double" else real.try_cast(kind)
@@ -38,7 +39,7 @@ def decimal_comma_number(c: ColumnLike, kind: str = "double") -> Column:
 
 def currency_number(c: ColumnLike, symbol: str = "R", kind: str = "double") -> Column:
     """'R1,510.00' -> 1510.0: one leading currency symbol and thousands commas go."""
-    return thousands_number(F.regexp_replace(F.trim(as_column(c)), f"^\\Q{symbol}\\E", ""), kind)
+    return thousands_number(F.regexp_replace(strip(c), f"^\\Q{symbol}\\E", ""), kind)
 
 
 def unit_number(c: ColumnLike, unit: str = " kg", kind: str = "int") -> Column:

@@ -8,6 +8,18 @@ from pyspark.sql import functions as F
 from pricemill.functions import ColumnLike, as_column
 
 
+# Fixed value: the characters that count as white space around and between words.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
+def strip(c: ColumnLike) -> Column:
+    """Without white space at both ends; no-break spaces count, which a plain trim leaves."""
+    return F.trim(as_column(c), F.lit(WHITE_SPACE))
+
+
 def snake_name(name: str) -> str:
     """'Market to  Market' -> 'market_to_market'."""
     return "_".join(name.split()).lower()
@@ -15,8 +27,9 @@ def snake_name(name: str) -> str:
 
 def tokens(c: ColumnLike) -> Column:
     """Split on runs of white space; a blank line has no tokens."""
-    line = F.regexp_replace(as_column(c), r"^\s+|\s+$", "")
-    return F.when(line == "", F.array().cast("array<string>")).otherwise(F.split(line, r"\s+"))
+    line = strip(c)
+    words = F.split(line, f"[{WHITE_SPACE}]+")
+    return F.when(line == "", F.array().cast("array<string>")).otherwise(words)
 
 
 def token(words: ColumnLike, position: int) -> Column:
@@ -36,12 +49,12 @@ def market_label(name: ColumnLike, code: ColumnLike, separator: str = " ") -> Co
 
 def before_dot(c: ColumnLike) -> Column:
     """'12. ONE' -> '12'."""
-    return F.trim(F.get(F.split(as_column(c), "[.]"), 0))
+    return strip(F.get(F.split(as_column(c), "[.]"), 0))
 
 
 def after_dot(c: ColumnLike) -> Column:
     """'12. ONE' -> 'ONE'; NULL when there is no dot."""
-    return F.trim(F.get(F.split(as_column(c), "[.]"), 1))
+    return strip(F.get(F.split(as_column(c), "[.]"), 1))
 
 
 def product_code(c: ColumnLike) -> Column:
@@ -69,7 +82,7 @@ def table_cell(html: ColumnLike, row: int, cell: int) -> Column:
     cells = F.regexp_extract_all(
         F.get(rows, row - 1), F.lit(r"(?is)<td\b[^>]*>(.*?)</td>"), F.lit(1)
     )
-    return F.trim(F.regexp_replace(F.get(cells, cell - 1), "<[^>]*>", ""))
+    return strip(F.regexp_replace(F.get(cells, cell - 1), "<[^>]*>", ""))
 
 
 def tag_text(html: ColumnLike, tag: str) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricemill.functions.numbers import plain_number, thousands_number
-from pricemill.functions.text import snake_name
+from pricemill.functions.text import snake_name, strip
 
 
 def snake_names(df: DataFrame) -> DataFrame:
@@ -59,7 +59,7 @@ def series(
 def trim_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Strip blanks in the named columns, or in every string column."""
     names = columns or [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: F.trim(F.col(c)) for c in names}) if names else df
+    return df.withColumns({c: strip(c) for c in names}) if names else df
 
 
 def text_to_double(df: DataFrame, between: tuple[str, str] | None = None) -> DataFrame:
