@@ -93,11 +93,27 @@ def text_lines(text: Column) -> Column:
     return F.split(text, "\r?\n")
 
 
-def _fields(line: Column) -> Column:
-    """Fields of one delimited line, quotes respected, as an array of text."""
+def _records(lines: Column) -> Column:
+    """Delimited lines to arrays of their fields, quotes respected.
+
+    Each line is parsed once: the second step binds the parsed record before it is spread over
+    an array. The readers below run this inside a generator, so that filters pushed down over
+    the fields do not repeat the parsing either.
+    """
     names = [f"f{i}" for i in range(SHEET_WIDTH)]
-    record = F.from_csv(line, ", ".join(f"{n} string" for n in names), {"escape": '"'})
-    return F.array(*[record[n] for n in names])
+    schema = ", ".join(f"{n} string" for n in names)
+    parsed = F.transform(lines, lambda line: F.from_csv(line, schema, {"escape": '"'}))
+    return F.transform(parsed, lambda r: F.array(*[r[n] for n in names]))
+
+
+def _header(lines: Column, title_lines: int) -> Column:
+    """Column names of a sheet, from the line below its title."""
+    first = F.get(_records(F.slice(lines, title_lines + 1, 1)), 0)
+    return F.transform(first, strip)
+
+
+def _not_blank(fields: Column) -> Column:
+    return F.exists(fields, lambda f: f.isNotNull() & (strip(f) != ""))
 
 
 def pick_by_header(header: Column, fields: Column, names: Sequence[str]) -> list[Column]:
@@ -119,15 +135,13 @@ def sheet_rows(
     the named columns as text. A sheet without rows adds none. No shuffle: a file's header and
     rows are in one record until the lines are exploded.
     """
-    parts = texts.select("file_path", *keep, text_lines(F.col("text")).alias("_lines"))
-    lines = parts.select(
-        "file_path",
-        *keep,
-        F.transform(_fields(F.get("_lines", title_lines)), strip).alias("_header"),
-        F.posexplode("_lines").alias("line_no", "_line"),
-    ).filter((F.col("line_no") > title_lines) & (strip("_line") != ""))
-    split = lines.select("file_path", "line_no", *keep, "_header", _fields(F.col("_line")).alias("_f"))
-    return split.select(
+    lines = text_lines(F.col("text"))
+    rows = (
+        texts.select("file_path", *keep, "text", _header(lines, title_lines).alias("_header"))
+        .select("file_path", *keep, "_header", F.posexplode(_records(lines)).alias("line_no", "_f"))
+        .filter((F.col("line_no") > title_lines) & _not_blank(F.col("_f")))
+    )
+    return rows.select(
         "file_path",
         "line_no",
         *keep,
@@ -150,33 +164,23 @@ def dated_sheet_rows(
     nothing has to be carried between rows: no window, no shuffle. Rows above the first header
     get NULL; header lines go.
     """
-    found = f"\r?\n(?=[^\n]*(?:{header_pattern}))"
-    pieces = (
-        texts.select(
-            "file_path",
-            *keep,
-            F.col("text"),
-            F.transform(
-                _fields(F.get(text_lines(F.col("text")), title_lines)), strip
-            ).alias("_header"),
-        )
-        .select("file_path", *keep, "_header", F.posexplode(F.split("text", found)).alias("_piece", "_body"))
-    )
-    lines = pieces.select(
+    cut = f"\r?\n(?=[^\n]*(?:{header_pattern}))"
+    pieces = texts.select(
+        "file_path",
+        *keep,
+        "text",
+        _header(text_lines(F.col("text")), title_lines).alias("_header"),
+    ).select("file_path", *keep, "_header", F.posexplode(F.split("text", cut)).alias("_piece", "_body"))
+    found = F.regexp_extract(F.get(text_lines(F.col("_body")), 0), header_pattern, 1)
+    rows = pieces.select(
         "file_path",
         *keep,
         "_header",
-        "_piece",
-        F.nullif(
-            F.regexp_extract(F.get(text_lines(F.col("_body")), 0), header_pattern, 1), F.lit("")
-        ).alias(section),
-        F.posexplode(text_lines(F.col("_body"))).alias("_at", "_line"),
-    )
-    first_row = F.when(F.col("_piece") == 0, F.lit(title_lines + 1)).otherwise(F.lit(1))
-    rows = lines.filter((F.col("_at") >= first_row) & (strip("_line") != ""))
-    rows = rows.withColumn(section, F.when(F.col("_piece") > 0, F.col(section)))
-    split = rows.select("file_path", *keep, section, "_header", _fields(F.col("_line")).alias("_f"))
-    return split.select(
+        F.when(F.col("_piece") > 0, found).alias(section),
+        F.when(F.col("_piece") > 0, 0).otherwise(title_lines).alias("_skip"),
+        F.posexplode(_records(text_lines(F.col("_body")))).alias("_at", "_f"),
+    ).filter((F.col("_at") > F.col("_skip")) & _not_blank(F.col("_f")))
+    return rows.select(
         "file_path", *keep, section, *pick_by_header(F.col("_header"), F.col("_f"), columns)
     )
 
