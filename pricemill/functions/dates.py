@@ -14,7 +14,6 @@ REPORT_DATE = "yyyy/M/d"
 SHEET_DATE = "d/M/yyyy"
 SECTION_DATE = "d MMMM yyyy"
 ISO_DATE = "yyyy-M-d"
-CONTRACT_DATE = "d MMM yy"
 
 # Month abbreviations in a contract name.
 MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
@@ -39,8 +38,8 @@ def section_date(c: ColumnLike) -> Column:
 
 def month_number(c: ColumnLike) -> Column:
     """'May' -> 5; other text gives NULL."""
-    position = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), as_column(c))
-    return F.nullif(position, F.lit(0)).cast("int")
+    numbers = F.create_map(*[F.lit(x) for n, m in enumerate(MONTHS, 1) for x in (m, n)])
+    return numbers[as_column(c)]
 
 
 def full_year(c: ColumnLike) -> Column:
@@ -49,9 +48,13 @@ def full_year(c: ColumnLike) -> Column:
 
 
 def contract_date(day: ColumnLike, month: ColumnLike, year: ColumnLike) -> Column:
-    """Date from the day, month abbreviation and two-digit year of a contract name."""
-    text = F.concat(as_column(day), F.lit(" "), as_column(month), F.lit(" "), as_column(year))
-    return F.try_to_date(text, CONTRACT_DATE)
+    """Date from the day, month number and four-digit year of a contract; NULL if there is none.
+
+    A cast of year-month-day text is about twice as fast as parsing with a pattern.
+    """
+    full = F.when(F.length(as_column(year)) == 4, as_column(year))
+    text = F.concat_ws("-", full, as_column(month).cast("string"), as_column(day))
+    return F.when(full.isNotNull() & as_column(month).isNotNull(), text.try_cast("date"))
 
 
 def long_date_text(c: ColumnLike) -> Column:

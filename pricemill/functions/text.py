@@ -27,9 +27,8 @@ def snake_name(name: str) -> str:
 
 def tokens(c: ColumnLike) -> Column:
     """Split on runs of white space; a blank line has no tokens."""
-    line = strip(c)
-    words = F.split(line, f"[{WHITE_SPACE}]+")
-    return F.when(line == "", F.array().cast("array<string>")).otherwise(words)
+    # Unicode classes take in no-break spaces; the range adds the separator control characters.
+    return F.array_remove(F.split(as_column(c), r"(?U)[\s\x1c-\x1f]+"), "")
 
 
 def token(words: ColumnLike, position: int) -> Column:
@@ -37,9 +36,9 @@ def token(words: ColumnLike, position: int) -> Column:
     return F.get(as_column(words), position)
 
 
-def contract_part(c: ColumnLike, position: int) -> Column:
-    """'15 May 23 XXXX' -> part 0 to 3: day, month, year, grain type."""
-    return F.get(F.split(as_column(c), " "), position)
+def contract_parts(c: ColumnLike) -> Column:
+    """'15 May 23 XXXX' -> day, month, year, grain type, as an array."""
+    return F.split(as_column(c), " ")
 
 
 def market_label(name: ColumnLike, code: ColumnLike, separator: str = " ") -> Column:

@@ -57,8 +57,11 @@ def still_open(df: DataFrame, column: str, as_of: date | str) -> DataFrame:
 def year_back_for(
     df: DataFrame, column: str, as_of: date | str, values: Mapping[str, object]
 ) -> DataFrame:
-    """A year back and equal to the given values, as for one upload date."""
-    return equal_to(trailing(df, column, as_of, 365), values)
+    """A year back and equal to the given values, as for one upload date.
+
+    Equality comes first: it is cheap and selective, while the date may be a parsed one.
+    """
+    return trailing(equal_to(df, values), column, as_of, 365)
 
 
 def containing(df: DataFrame, column: str, part: str) -> DataFrame:

@@ -16,8 +16,11 @@ from pricemill.operators.filters import equal_to
 
 
 def _known(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose keys are all known: groups are never formed on NULL."""
-    return df.dropna(how="any", subset=list(keys))
+    """Rows whose keys are all known: groups are never formed on NULL or NaN."""
+    types = dict(df.dtypes)
+    for k in keys:
+        df = df.filter(~missing(k, types[k]))
+    return df
 
 
 def group_count(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:

@@ -9,9 +9,9 @@ span and joined back.
 How the cuts are found, all lazily and from the data alone:
 
 1. Groups are counted. A group is hot when it has more rows than a span, and a span has
-   ``rows_per_span`` rows or 1/10,000 of the frame, whichever is more. So there are at most
-   10,000 hot groups with at most 20,000 spans between them, however large the frame is. This is
-   the size bound behind the two broadcasts below.
+   ``rows_per_span`` rows or 1/50,000 of the frame, whichever is more. So hot groups and their
+   spans number at most 100,000 between them, however large the frame is. This is the size
+   bound behind the broadcasts below.
 2. In hot groups the order values of a hash-picked share of the rows are sorted, and every k-th
    of them is a cut. The pick depends on the values only, so every reader of the cuts and every
    retry after a lost executor sees the same ones.
@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 from pricemill.functions import ColumnLike, as_column
 
 ROWS_PER_SPAN = 2_000_000
-MOST_HOT_GROUPS = 10_000
-MARKS_PER_SPAN = 32
+MOST_SPANS = 50_000
+MARKS_PER_SPAN = 16
 # Steps of the binary search; together they reach past the most spans a group can have.
-SEARCH_STEPS = tuple(2**n for n in range(15, -1, -1))
+SEARCH_STEPS = tuple(2**n for n in range(16, -1, -1))
 
 _EVERYTHING = "_everything"
 
@@ -71,7 +71,7 @@ def _cuts(
     hot = (
         sizes.withColumn(
             "_span_rows",
-            F.greatest(F.lit(rows_per_span), F.ceil(everything / MOST_HOT_GROUPS)),
+            F.greatest(F.lit(rows_per_span), F.ceil(everything / MOST_SPANS)),
         )
         .filter(F.col("_rows") > F.col("_span_rows"))
         .withColumn("_every", F.ceil(F.col("_span_rows") / MARKS_PER_SPAN))

@@ -67,18 +67,25 @@ def clean(raw: DataFrame, drop_incomplete: bool = True) -> DataFrame:
 
 
 def with_contract(df: DataFrame, separator: str = " ") -> DataFrame:
-    """Add the parts of the contract name, the contract date and the market label."""
-    day, month, year, grain = (text.contract_part("contract_type", i) for i in range(4))
-    return df.withColumns(
-        {
-            "day": day,
-            "month": month,
-            "month_code": dates.month_number(month),
-            "year": dates.full_year(year),
-            "grain_type": grain,
-            "contract_date": dates.contract_date(day, month, year),
-            "market": text.market_label("market_name", "market_code", separator),
-        }
+    """Add the parts of the contract name, the contract date and the market label.
+
+    Parts, then month and year, then the date: each step reads columns of the one before, so
+    no parsing is repeated.
+    """
+    split = df.withColumn("_parts", text.contract_parts("contract_type"))
+    parts = split.withColumns(
+        {n: text.token("_parts", i) for i, n in enumerate(("day", "month", "_year", "grain_type"))}
+    )
+    return (
+        parts.withColumns(
+            {
+                "month_code": dates.month_number("month"),
+                "year": dates.full_year("_year"),
+                "market": text.market_label("market_name", "market_code", separator),
+            }
+        )
+        .withColumn("contract_date", dates.contract_date("day", "month_code", "year"))
+        .drop("_parts", "_year")
     )
 
 

@@ -33,8 +33,12 @@ PORK_COLUMNS = ("class", "units", "avg_mass", "avg_purch", "purch_min", "purch_m
 def read_reports(
     spark: SparkSession, path: str, suffix: str = "", exclude: Sequence[str] = ()
 ) -> DataFrame:
-    """Lines of all reports with their dates, section and weight band. No shuffle."""
-    texts = files.read_whole_texts(spark, path, suffix, exclude)
+    """Section lines of all report files."""
+    return report_rows(files.read_whole_texts(spark, path, suffix, exclude))
+
+
+def report_rows(texts: DataFrame) -> DataFrame:
+    """Lines of reports with their dates, section and weight band. No shuffle."""
     lines = reports.report_lines(
         texts,
         header={

@@ -14,9 +14,11 @@ from pricemill.functions import dates, numbers, text
 from pricemill.operators import filters, measures, ordered, quality, shape
 from pricemill.plans import grain, horticulture, livestock, standins
 from pricemill.plans.standins import GRAIN_SQL, HORTICULTURE_SQL, LIVESTOCK_SQL, table
+from pricemill.schemas import CATTLE
 from pricemill.session import run_folder
 from pricemill.sinks import tables as sinks
 from pricemill.sources import files, pages, reports
+from pricemill.sources.tables import read_table
 from pricemill.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -730,6 +732,197 @@ def work_list(spark: SparkSession, folder: str) -> DataFrame:
     return pages.work_list(pairs(sales), pairs(done), ["p_brand", "l_suppkey"])
 
 
+# --- whole reports, from raw text to typed rows -------------------------------------------
+# One small report per row of a table: the text is built by Spark and then read as if it had
+# come from a file.
+
+
+def _text(*lines: Column | str) -> Column:
+    return F.concat_ws("\n", *[F.lit(x) if isinstance(x, str) else x for x in lines])
+
+
+def _csv(*fields: Column | str) -> Column:
+    return F.concat_ws(",", *[F.lit(x) if isinstance(x, str) else x for x in fields])
+
+
+def _quoted(number: str) -> Column:
+    return F.concat(F.lit('"'), F.format_number(number, 2), F.lit('"'))
+
+
+@query(
+    "grain_sheets",
+    """
+SELECT strftime(o_orderdate, '%-d %b %y ') || o_orderstatus AS contract_type,
+       o_totalprice AS bid, o_totalprice AS last, CAST(o_custkey AS INTEGER) AS deals,
+       o_orderkey AS value, CAST(o_orderdate AS DATE) AS upload_date, o_orderpriority AS market_name
+FROM orders
+""",
+)
+def grain_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    contract = F.concat(F.date_format("o_orderdate", "d MMM yy"), F.lit(" "), F.col("o_orderstatus"))
+    price, day = _quoted("o_totalprice"), F.date_format("o_orderdate", "dd/MM/yyyy")
+    # Column order differs between sheets; names decide.
+    plain = _text(
+        "title, with a comma",
+        "Contract Type,Volatility,Bid,Offer,Market to Market,First,Last,High,Low,Deals,Conts,Value,,Upload Date",
+        _csv(contract, "1", price, "1", "1", "1", price, "1", "1", F.col("o_custkey"), '"1,204"',
+             F.col("o_orderkey"), "", day),
+        "",
+    )
+    turned = _text(
+        "title",
+        "Upload Date,Value,Conts,Deals,Low,High,Last,First,Market to Market,Offer,Bid,Volatility,Contract Type",
+        _csv(day, F.col("o_orderkey"), "2", F.col("o_custkey"), "1", "1", price, "1", "1", "1", price, " 1 ",
+             contract),
+        # No volatility: an incomplete row, which the clean-up drops.
+        _csv(day, F.col("o_orderkey"), "2", "7", "1", "1", price, "1", "1", "1", price, " ", contract),
+    )
+    texts = table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("file_path"),
+        F.concat(F.lit(" "), F.col("o_orderpriority")).alias("market_name"),
+        F.lit("m").alias("market_code"),
+        F.lit("t").alias("market_type"),
+        F.when(F.col("o_orderstatus") == "O", turned).otherwise(plain).alias("text"),
+    )
+    raw = files.sheet_rows(texts, grain.SHEET_COLUMNS, keep=grain.MARKET_COLUMNS)
+    return grain.clean(raw).select(
+        "contract_type", "bid", "last", "deals", "value", "upload_date", "market_name"
+    )
+
+
+@query(
+    "horticulture_sheets",
+    """
+SELECT p_name AS product, CAST(p_partkey AS VARCHAR) AS product_code, p_brand AS variety,
+       p_size AS unit_kg, CASE WHEN n < 2 THEN p_retailprice ELSE 20.5 END AS average_price,
+       CAST(1510 AS DOUBLE) AS total_sales,
+       CASE n WHEN 1 THEN DATE '2023-05-01' WHEN 2 THEN DATE '2023-05-02'
+              WHEN 3 THEN DATE '2023-05-02' END AS date,
+       'Market ' || p_type AS market_name
+FROM part CROSS JOIN range(4) r(n)
+""",
+)
+def horticulture_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    product = F.concat(F.col("p_partkey"), F.lit(". "), F.col("p_name"))
+    unit = F.concat(F.col("p_size").cast("string"), F.lit(" kg"))
+
+    def row(average: Column | str) -> Column:
+        return _csv(
+            product, F.col("p_brand"), F.col("p_type"), "M", "BAG", unit, "20.5", "3", "2", average,
+            '"R1,510.00"', "30", "7",
+        )
+
+    price = F.col("p_retailprice").cast("string")
+    blank = ",,,,,,,,,,,,"
+    texts = table(spark, folder, "part").select(
+        F.concat(
+            F.lit("file:/in/Market%20"), F.col("p_type"), F.lit("_m_t/"), F.col("p_partkey")
+        ).alias("file_path"),
+        _text(
+            "title line",
+            ",".join(horticulture.SHEET_COLUMNS),
+            row(price),
+            ',,,,,"Monday, 1 May 2023",,,,,,,',
+            row(price),
+            blank,
+            ",,,,,02 May 2023,,,,,,,",
+            # No average price: the closing price stands in.
+            row(""),
+            # The same header again opens a new section.
+            ",,,,,02 May 2023,,,,,,,",
+            row(""),
+            "",
+        ).alias("text"),
+    )
+    raw = files.dated_sheet_rows(
+        files.market_of_path(texts),
+        horticulture.SHEET_COLUMNS,
+        horticulture.SECTION_HEADER,
+        section="Date",
+        keep=("market_name", "market_code", "market_type"),
+    )
+    return horticulture.clean(raw).select(
+        "product", "product_code", "variety", "unit_kg", "average_price", "total_sales", "date",
+        "market_name",
+    )
+
+
+def _reports(spark: SparkSession, folder: str) -> DataFrame:
+    """A slaughter report of 52 lines per customer, with the decimal comma."""
+    plain = F.translate(F.format_number("c_acctbal", 2), ",", "")
+    customers = table(spark, folder, "customer").select(
+        "c_custkey", F.translate(plain, ".", ",").alias("amount")
+    )
+    amount = F.col("amount")
+
+    def line(i: Column) -> Column:
+        return (
+            F.when(i == 0, F.lit("a b c d e f g h i j k l m 2023/05/01 to 2023/5/7"))
+            .when((i >= 9) & (i <= 10), F.lit("heading"))
+            # The last value of the first cattle line is missing.
+            .when(i == 1, F.concat_ws(" ", F.lit("K1"), F.col("c_custkey"), amount, amount, amount, amount))
+            .otherwise(
+                F.concat_ws(
+                    "  ", F.concat(F.lit("K"), i), F.col("c_custkey") + i, amount, amount, amount, amount,
+                    amount, F.lit("surplus"),
+                )
+            )
+        )
+
+    texts = customers.select(
+        F.col("c_custkey").cast("string").alias("file_path"),
+        F.array_join(F.transform(F.sequence(F.lit(0), F.lit(51)), line), "\n").alias("text"),
+    )
+    return livestock.report_rows(texts)
+
+
+@query(
+    "livestock_cattle_reports",
+    """
+SELECT 'K' || CAST(i AS VARCHAR) AS class,
+       CAST(CASE WHEN i = 1 THEN c_custkey ELSE c_custkey + i END AS INTEGER) AS units,
+       c_acctbal AS avg_mass, c_acctbal AS selling_min,
+       CASE WHEN i = 1 THEN 0.0 ELSE c_acctbal END AS selling_max, i = 1 AS was_null,
+       DATE '2023-05-01' AS date_from, DATE '2023-05-07' AS date_to
+FROM customer CROSS JOIN range(1, 9) r(i)
+""",
+)
+def livestock_cattle_reports(spark: SparkSession, folder: str) -> DataFrame:
+    return livestock.cattle(_reports(spark, folder)).select(
+        "class", "units", "avg_mass", "selling_min", "selling_max", "was_null", "date_from", "date_to"
+    )
+
+
+@query(
+    "livestock_sheep_reports",
+    """
+SELECT 'K' || CAST(i AS VARCHAR) AS class, CAST(c_custkey + i AS INTEGER) AS units,
+       c_acctbal AS avg_purch, DATE '2023-05-01' AS date_from
+FROM customer CROSS JOIN range(11, 24) r(i)
+""",
+)
+def livestock_sheep_reports(spark: SparkSession, folder: str) -> DataFrame:
+    return livestock.sheep(_reports(spark, folder)).select(
+        "class", "units", "avg_purch", "date_from"
+    )
+
+
+@query(
+    "livestock_pork_reports",
+    """
+SELECT 'K' || CAST(i AS VARCHAR) AS class, CAST(c_custkey + i AS INTEGER) AS units,
+       c_acctbal AS purch_max, DATE '2023-05-07' AS date_to,
+       list_extract(['20-55.99kg', '56-64.99kg', '65-79.99kg', '80-99.99kg'], (i - 26) // 6 + 1)
+         AS weight
+FROM customer CROSS JOIN range(26, 50) r(i)
+""",
+)
+def livestock_pork_reports(spark: SparkSession, folder: str) -> DataFrame:
+    return livestock.pork(_reports(spark, folder)).select(
+        "class", "units", "purch_max", "date_to", "weight"
+    )
+
+
 # --- parsing and projections --------------------------------------------------------------
 
 
@@ -1138,6 +1331,28 @@ def table_append(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", "year")
 
 
+@query(
+    "catalog_table",
+    """
+SELECT o_orderpriority AS class, CAST(o_custkey AS INTEGER) AS units, o_totalprice AS avg_purch,
+       CAST(o_orderdate AS DATE) AS date_from, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
+""",
+)
+def catalog_table(spark: SparkSession, folder: str) -> DataFrame:
+    nothing = F.lit(0.0)
+    rows = table(spark, folder, "orders").select(
+        F.col("o_orderpriority").alias("class"),
+        F.col("o_custkey").alias("units"),
+        F.col("o_totalprice").alias("avg_purch"),
+        F.col("o_orderdate").alias("date_from"),
+        F.col("o_orderdate").alias("date_to"),
+        *[nothing.alias(c) for c in ("avg_mass", "avg_selling", "selling_min", "selling_max")],
+    )
+    sinks.create_table(spark, CATTLE, run_folder(spark, "catalog"))
+    sinks.load_table(rows, CATTLE, mode="overwrite")
+    return read_table(spark, CATTLE.name).select("class", "units", "avg_purch", "date_from", "year")
+
+
 @query(
     "stage_rows",
     "SELECT s_suppkey, s_acctbal, 'grain' AS family FROM supplier",

@@ -9,8 +9,6 @@ from pyspark.sql import types as T
 from pricemill.functions.text import strip
 
 BAD_RECORD = "_bad_record"
-# Positions a sheet line is split into before its columns are picked by header name.
-SHEET_WIDTH = 64
 
 
 def read_text_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -93,36 +91,53 @@ def text_lines(text: Column) -> Column:
     return F.split(text, "\r?\n")
 
 
-def _records(lines: Column) -> Column:
-    """Delimited lines to arrays of their fields, quotes respected.
+# Fixed value: one field of a delimited line with its end; quoted fields may hold commas.
+FIELD = r'("[^"]*+(?:""[^"]*+)*+"|[^,]*)(?:,|$)'
+
+
+def _unquoted(field: Column) -> Column:
+    """Text of a field; an empty one is NULL."""
+    size = F.length(field)
+    quoted = F.startswith(field, F.lit('"')) & F.endswith(field, F.lit('"')) & (size > 1)
+    inner = F.replace(F.substring(field, 2, size - 2), F.lit('""'), F.lit('"'))
+    return F.when(quoted, F.when(size > 2, inner)).when(field != "", field)
+
+
+def _fields(line: Column) -> Column:
+    """Fields of a line of any width; only lines with quotes need the pattern."""
+    split = F.transform(F.regexp_extract_all(line, F.lit(FIELD), F.lit(1)), _unquoted)
+    simple = F.transform(F.split(line, ","), lambda f: F.when(f != "", f))
+    return F.when(F.contains(line, F.lit('"')), split).otherwise(simple)
+
+
+def _places(lines: Column, title_lines: int, names: Sequence[str]) -> Column:
+    """Position of each named column in the sheet's header (from 1, 0 if the sheet lacks it)."""
+    wanted = F.array(*[F.lit(n) for n in names])
+    # One-element arrays bind the header, so that it is parsed once and not once per name.
+    header = F.transform(
+        F.slice(lines, title_lines + 1, 1), lambda line: F.transform(_fields(line), strip)
+    )
+    found = F.transform(header, lambda h: F.transform(wanted, lambda n: F.array_position(h, n)))
+    return F.get(found, 0)
 
-    Each line is parsed once: the second step binds the parsed record before it is spread over
-    an array. The readers below run this inside a generator, so that filters pushed down over
-    the fields do not repeat the parsing either.
-    """
-    names = [f"f{i}" for i in range(SHEET_WIDTH)]
-    schema = ", ".join(f"{n} string" for n in names)
-    parsed = F.transform(lines, lambda line: F.from_csv(line, schema, {"escape": '"'}))
-    return F.transform(parsed, lambda r: F.array(*[r[n] for n in names]))
 
+def _records(lines: Column, places: Column) -> Column:
+    """Delimited lines to arrays of the named columns, in their order.
 
-def _header(lines: Column, title_lines: int) -> Column:
-    """Column names of a sheet, from the line below its title."""
-    first = F.get(_records(F.slice(lines, title_lines + 1, 1)), 0)
-    return F.transform(first, strip)
+    The readers below run this inside a generator, so that filters pushed down over the columns
+    do not repeat the parsing. They use the outer form of the generator, since for the plain
+    one Spark adds a not-empty filter that would parse everything again.
+    """
+    split = F.transform(lines, _fields)
+    return F.transform(split, lambda f: F.transform(places, lambda p: F.get(f, p.cast("int") - 1)))
 
 
-def _not_blank(fields: Column) -> Column:
-    return F.exists(fields, lambda f: f.isNotNull() & (strip(f) != ""))
+def _named(fields: str, names: Sequence[str]) -> list[Column]:
+    return [F.get(fields, i).alias(name) for i, name in enumerate(names)]
 
 
-def pick_by_header(header: Column, fields: Column, names: Sequence[str]) -> list[Column]:
-    """Columns of a line by their header name; a header the file lacks gives NULL."""
-    out = []
-    for name in names:
-        at = F.array_position(header, F.lit(name)).cast("int")
-        out.append(F.when(at > 0, F.get(fields, at - 1)).alias(name))
-    return out
+def _not_blank(fields: str) -> Column:
+    return F.exists(fields, lambda f: strip(f) != "")
 
 
 def sheet_rows(
@@ -135,18 +150,18 @@ def sheet_rows(
     the named columns as text. A sheet without rows adds none. No shuffle: a file's header and
     rows are in one record until the lines are exploded.
     """
-    lines = text_lines(F.col("text"))
+    lines = F.col("_lines")
     rows = (
-        texts.select("file_path", *keep, "text", _header(lines, title_lines).alias("_header"))
-        .select("file_path", *keep, "_header", F.posexplode(_records(lines)).alias("line_no", "_f"))
-        .filter((F.col("line_no") > title_lines) & _not_blank(F.col("_f")))
-    )
-    return rows.select(
-        "file_path",
-        "line_no",
-        *keep,
-        *pick_by_header(F.col("_header"), F.col("_f"), columns),
+        texts.select("file_path", *keep, text_lines(F.col("text")).alias("_lines"))
+        .withColumn("_at", _places(lines, title_lines, columns))
+        .select(
+            "file_path",
+            *keep,
+            F.posexplode_outer(_records(lines, F.col("_at"))).alias("line_no", "_f"),
+        )
+        .filter((F.col("line_no") > title_lines) & _not_blank("_f"))
     )
+    return rows.select("file_path", "line_no", *keep, *_named("_f", columns))
 
 
 def dated_sheet_rows(
@@ -165,24 +180,19 @@ def dated_sheet_rows(
     get NULL; header lines go.
     """
     cut = f"\r?\n(?=[^\n]*(?:{header_pattern}))"
-    pieces = texts.select(
-        "file_path",
-        *keep,
-        "text",
-        _header(text_lines(F.col("text")), title_lines).alias("_header"),
-    ).select("file_path", *keep, "_header", F.posexplode(F.split("text", cut)).alias("_piece", "_body"))
+    places = _places(text_lines(F.col("text")), title_lines, columns)
+    pieces = texts.select("file_path", *keep, "text", places.alias("_at")).select(
+        "file_path", *keep, "_at", F.posexplode_outer(F.split("text", cut)).alias("_piece", "_body")
+    )
     found = F.regexp_extract(F.get(text_lines(F.col("_body")), 0), header_pattern, 1)
     rows = pieces.select(
         "file_path",
         *keep,
-        "_header",
         F.when(F.col("_piece") > 0, found).alias(section),
         F.when(F.col("_piece") > 0, 0).otherwise(title_lines).alias("_skip"),
-        F.posexplode(_records(text_lines(F.col("_body")))).alias("_at", "_f"),
-    ).filter((F.col("_at") > F.col("_skip")) & _not_blank(F.col("_f")))
-    return rows.select(
-        "file_path", *keep, section, *pick_by_header(F.col("_header"), F.col("_f"), columns)
-    )
+        F.posexplode_outer(_records(text_lines(F.col("_body")), F.col("_at"))).alias("_no", "_f"),
+    ).filter((F.col("_no") > F.col("_skip")) & _not_blank("_f"))
+    return rows.select("file_path", *keep, section, *_named("_f", columns))
 
 
 # Fixed value: the directory of a market file is <name>_<code>_<type>; the name may hold '_'.

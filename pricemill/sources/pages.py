@@ -35,16 +35,24 @@ def page_links(
 
     ``text`` keeps the links with that text, ``first`` the first n of what is left on a page.
     """
-    found = F.arrays_zip(
-        F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(1)).alias("href"),
-        F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(2)).alias("link_text"),
+    # The page is searched once; the parts are then read from each short anchor.
+    anchors = F.regexp_extract_all(F.col(html), F.lit(ANCHOR), F.lit(0))
+    found = F.transform(
+        anchors,
+        lambda a: F.struct(
+            F.regexp_extract(a, ANCHOR, 1).alias("href"),
+            F.regexp_extract(a, ANCHOR, 2).alias("link_text"),
+        ),
     )
     if text is not None:
         found = F.filter(found, lambda a: strip(a["link_text"]) == text)
     if first is not None:
         found = F.slice(found, 1, first)
-    return pages.select(*keep, F.posexplode(found).alias("pos", "_link")).select(
-        *keep, "pos", F.col("_link.href").alias("href"), F.col("_link.link_text").alias("link_text")
+    # The outer form: for the plain one Spark adds a not-empty filter that searches again.
+    return (
+        pages.select(*keep, F.posexplode_outer(found).alias("pos", "_link"))
+        .filter(F.col("pos").isNotNull())
+        .select(*keep, "pos", "_link.href", "_link.link_text")
     )
 
 
@@ -56,7 +64,7 @@ def select_options(
 ) -> DataFrame:
     """Options of the select box of a page, from the one after the ``skip`` leading ones on."""
     options = F.transform(F.regexp_extract_all(F.col(html), F.lit(OPTION), F.lit(1)), strip)
-    return pages.select(*keep, F.posexplode(options).alias("pos", "option")).filter(
+    return pages.select(*keep, F.posexplode_outer(options).alias("pos", "option")).filter(
         F.col("pos") >= skip
     )
 

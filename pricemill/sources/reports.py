@@ -25,9 +25,9 @@ def report_lines(
         "head", tokens(F.get("_lines", 0))
     )
     spread = [value.alias(name) for name, value in (header or {}).items()]
-    lines = whole.select(
-        *keep, *spread, F.posexplode("_lines").alias("pos", "line")
-    )
+    # The outer form: for the plain one Spark adds a not-empty filter that splits the text again.
+    lines = whole.select(*keep, *spread, F.posexplode_outer("_lines").alias("pos", "line"))
+    lines = lines.filter(F.col("pos").isNotNull())
     return lines.withColumn("words", tokens("line"))
 
 

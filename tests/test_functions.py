@@ -71,19 +71,32 @@ def test_section_date(value):
     assert value(dates.section_date(F.lit("1 May 2023"))) == date(2023, 5, 1)
 
 
-def test_contract_name(value):
-    name = F.lit("15 May 23 XXXX")
-    day, month, year, grain = (text.contract_part(name, i) for i in range(4))
-    assert value(dates.contract_date(day, month, year)) == date(2023, 5, 15)
-    assert value(dates.month_number(month)) == 5
-    assert value(dates.full_year(year)) == "2023"
-    assert value(grain) == "XXXX"
-    assert value(text.contract_part(F.lit("15 May"), 3)) is None
+def test_contract_parts(value):
+    parts = text.contract_parts(F.lit("15 May 23 XXXX"))
+    assert value(parts) == ["15", "May", "23", "XXXX"]
+    assert value(text.token(text.contract_parts(F.lit("15 May")), 3)) is None
+    assert value(dates.month_number(F.lit("May"))) == 5
     assert value(dates.month_number(F.lit("Mai"))) is None
+    assert value(dates.full_year(F.lit("23"))) == "2023"
 
 
-def test_two_digit_years_are_of_this_century(value):
-    assert value(dates.contract_date(F.lit("31"), F.lit("May"), F.lit("99"))) == date(2099, 5, 31)
+@pytest.mark.parametrize(
+    ("day", "month", "year", "expected"),
+    [
+        ("15", 5, "2023", date(2023, 5, 15)),
+        ("1", 5, "2099", date(2099, 5, 1)),
+        ("30", 2, "2023", None),
+        ("15", None, "2023", None),
+        ("15", 5, "202023", None),
+        (None, 5, "2023", None),
+        ("x", 5, "2023", None),
+    ],
+)
+def test_contract_date(value, day, month, year, expected):
+    column = dates.contract_date(
+        F.lit(day).cast("string"), F.lit(month).cast("int"), F.lit(year).cast("string")
+    )
+    assert value(column) == expected
 
 
 def test_product_parts(value):

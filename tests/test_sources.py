@@ -27,7 +27,7 @@ def test_csv_scans(spark, tmp_path):
 
 
 def test_sheets_match_columns_by_name(spark, tmp_path):
-    write(tmp_path, "a.csv", 'title\nA,B\n1,"2,5"\n\n3,4\n')
+    write(tmp_path, "a.csv", 'title\nA,B\n1,"2,5"\n\n3,4\n"say ""a"", b",5" x,left over\n"",\n')
     write(tmp_path, "b.csv", "title, with comma\r\nB,C,A\r\nx,y,z\r\n")
     write(tmp_path, "c.csv", "title\nA,B\n")
     write(tmp_path, "d.csv", "")
@@ -36,10 +36,11 @@ def test_sheets_match_columns_by_name(spark, tmp_path):
     assert sorted((r.file_name, r.line_no, r.A, r.B, r.C) for r in out.collect()) == [
         ("a.csv", 2, "1", "2,5", None),
         ("a.csv", 4, "3", "4", None),
+        ("a.csv", 5, 'say "a", b', '5" x', None),
         ("b.csv", 2, "z", "x", "y"),
     ]
     counts = quality.rows_per_file(files.file_name(out), "file_name").collect()
-    assert {r.file_name: r.rows for r in counts} == {"a.csv": 2, "b.csv": 1}
+    assert {r.file_name: r.rows for r in counts} == {"a.csv": 3, "b.csv": 1}
 
 
 def test_suffix_and_exclude(spark, tmp_path):
