@@ -15,7 +15,9 @@ How the cuts are found, all lazily and from the data alone:
 2. In hot groups the order values of a hash-picked share of the rows are sorted, and every k-th
    of them is a cut. The pick depends on the values only, so every reader of the cuts and every
    retry after a lost executor sees the same ones.
-3. A row's span is the number of cuts at or before it, by binary search.
+3. A row's span is the number of cuts at or before it, by binary search over the first order
+   column, which is a plain number or date. Only where more than a span's worth of rows shares
+   one value of it are all order columns compared.
 
 With no hot group AQE sees the empty broadcast and drops the extra branches; what stays is the
 plain window.
@@ -86,16 +88,25 @@ def _cuts(
             F.max(F.ceil(F.col("_span_rows") / F.col("_every"))).alias("_step"),
         )
     )
-    chosen = F.filter("_marks", lambda _, i: (i + 1) % F.col("_step") == 0)
-    return marks.select(*group, chosen.alias("_cuts"))
+    cuts = marks.select(
+        *group, F.filter("_marks", lambda _, i: (i + 1) % F.col("_step") == 0).alias("_full")
+    ).withColumn("_firsts", F.transform("_full", lambda c: c[order[0]]))
+    tied = F.size(F.array_distinct("_firsts")) < F.size("_firsts")
+    steps = F.array(*[F.lit(n) for n in SEARCH_STEPS])
+    return cuts.select(
+        *group,
+        "_firsts",
+        F.when(tied, F.col("_full")).alias("_full"),
+        F.filter(steps, lambda n: n <= F.size("_firsts")).alias("_steps"),
+    )
 
 
-def _span_of(cuts: Column, mark: Column) -> Column:
-    """Number of cuts at or before the mark."""
+def _at_or_before(cuts: Column, value: Column) -> Column:
+    """Number of sorted cuts at or before a value."""
     return F.aggregate(
-        F.array(*[F.lit(s) for s in SEARCH_STEPS]),
+        "_steps",
         F.lit(0),
-        lambda at, step: F.when(F.get(cuts, at + step - 1) <= mark, at + step).otherwise(at),
+        lambda at, step: F.when(F.get(cuts, at + step - 1) <= value, at + step).otherwise(at),
     )
 
 
@@ -107,10 +118,14 @@ def with_spans(
 ) -> DataFrame:
     """Add ``_span`` (0 in ordinary groups) and ``_hot``. ``order`` should tell all rows apart."""
     cut = _same_group(df, _cuts(df, group, order, rows_per_span), group, "left")
-    span = F.when(F.col("_cuts").isNotNull(), _span_of(F.col("_cuts"), _mark(order)))
-    return cut.withColumns(
-        {"_hot": F.col("_cuts").isNotNull(), "_span": F.coalesce(span, F.lit(0))}
-    ).drop("_cuts")
+    span = (
+        F.when(F.col("_steps").isNull(), 0)
+        .when(F.col("_full").isNotNull(), _at_or_before(F.col("_full"), _mark(order)))
+        .otherwise(_at_or_before(F.col("_firsts"), F.col(order[0])))
+    )
+    return cut.withColumns({"_hot": F.col("_steps").isNotNull(), "_span": span}).drop(
+        "_firsts", "_full", "_steps"
+    )
 
 
 def _latest(

@@ -1,6 +1,7 @@
 """Operators on hand-made rows: NULL, NaN, zeros, ties."""
 
 import math
+import random
 from datetime import date
 
 import pytest
@@ -226,6 +227,30 @@ def test_number_rows(rows, span):
         assert [n for _, n in mine] == list(range(1, len(mine) + 1))
 
 
+def test_spans_follow_the_order_through_ties_and_nulls(rows):
+    # Half of the hot group shares two days or has none; the id breaks the ties.
+    draw = random.Random(3)
+    data = [
+        (draw.choice(["hot", "hot", "hot", "cold"]), draw.choice([None, 1, 2, draw.randint(3, 400)]), i)
+        for i in range(600)
+    ]
+    draw.shuffle(data)
+    df = rows("g string, day int, id int", *data)
+    cut = ordered.with_spans(df, ["g"], ["day", "id"], 12).collect()
+    hot = sorted((r.day is not None, r.day or 0, r.id, r._span) for r in cut if r.g == "hot")
+    spans = [span for *_, span in hot]
+    assert spans == sorted(spans)
+    assert all(r._hot for r in cut)
+    assert max(spans.count(s) for s in set(spans)) < 60
+    value = F.when(F.col("id") % 7 == 0, F.col("id"))
+    out = ordered.fill_forward(df, ["g"], ["day", "id"], value, "v", 12).collect()
+    for g in ("hot", "cold"):
+        seen = None
+        for r in sorted((r for r in out if r.g == g), key=lambda r: (r.day is not None, r.day or 0, r.id)):
+            seen = r.id if r.id % 7 == 0 else seen
+            assert r.v == seen
+
+
 def test_blocks(rows):
     df = rows("f string, pos int", *[("f1", i) for i in range(10)], ("f2", 3))
     out = ordered.label_blocks(df, ["f"], ["pos"], ["w0", "w1"], 3, "w")
