@@ -53,8 +53,10 @@ def contract_date(day: ColumnLike, month: ColumnLike, year: ColumnLike) -> Colum
     A cast of year-month-day text is about twice as fast as parsing with a pattern.
     """
     full = F.when(F.length(as_column(year)) == 4, as_column(year))
-    text = F.concat_ws("-", full, as_column(month).cast("string"), as_column(day))
-    return F.when(full.isNotNull() & as_column(month).isNotNull(), text.try_cast("date"))
+    dash = F.lit("-")
+    # One NULL part makes the whole text NULL.
+    text = F.concat(full, dash, as_column(month).cast("string"), dash, as_column(day))
+    return text.try_cast("date")
 
 
 def long_date_text(c: ColumnLike) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricemill.functions.dates import parse_date
 from pricemill.functions.numbers import plain_number, thousands_number
 from pricemill.functions.text import snake_name, strip
 
@@ -80,20 +81,26 @@ def conform(
     """Typed columns of ``schema`` in order, from text columns, in one projection.
 
     A column listed in ``parse`` goes through that function; other numbers through
-    ``plain_number``. A column the frame lacks becomes NULL.
+    ``plain_number`` and other dates through ``parse_date``, so nothing raises on bad text. A
+    column the frame lacks becomes NULL.
     """
     parse = parse or {}
-    present = set(df.columns)
+    types = dict(df.dtypes)
     out = []
     for f in schema.fields:
         kind = f.dataType.simpleString()
-        source = F.col(f.name) if f.name in present else F.lit(None).cast("string")
-        if f.name in parse and f.name in present:
-            value = parse[f.name](source)
+        if f.name not in types:
+            value = F.lit(None)
+        elif f.name in parse:
+            value = parse[f.name](F.col(f.name))
+        elif types[f.name] != "string":
+            value = F.col(f.name).try_cast(f.dataType)
         elif isinstance(f.dataType, T.NumericType):
-            value = plain_number(source, kind)
+            value = plain_number(f.name, kind)
+        elif isinstance(f.dataType, T.DateType):
+            value = parse_date(f.name)
         else:
-            value = source
+            value = F.col(f.name)
         out.append(value.cast(f.dataType).alias(f.name))
     return df.select(*out)
 

@@ -59,6 +59,15 @@ def read_sheets(
     return files.sheet_rows(texts, SHEET_COLUMNS, keep=MARKET_COLUMNS)
 
 
+def read_long_sheets(
+    spark: SparkSession, path: str, markets: DataFrame, suffix: str = ""
+) -> DataFrame:
+    """The same rows from sheets that are too long to be one record each."""
+    rows = files.long_sheet_rows(files.read_lines(spark, path, suffix), SHEET_COLUMNS)
+    named = shape.attach(files.file_name(rows), markets, "file_name")
+    return named.select("file_path", *MARKET_COLUMNS, *SHEET_COLUMNS)
+
+
 def clean(raw: DataFrame, drop_incomplete: bool = True) -> DataFrame:
     """Raw text rows to ``grain_prices``; rows with any missing value go."""
     named = shape.rename(shape.snake_names(raw), {"conts": "contracts"})

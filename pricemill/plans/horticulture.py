@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricemill.functions import dates, numbers, text
-from pricemill.operators import filters, measures, shape
+from pricemill.operators import filters, measures, ordered, shape
 from pricemill.schemas import HORTICULTURE
 from pricemill.sources import files
 
@@ -52,6 +52,20 @@ def read_sheets(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     return filters.not_blank(rows, SHEET_COLUMNS)
 
 
+def read_long_sheets(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """The same rows from sheets that are too long to be one record each.
+
+    Lines are read in splits, and the section date is carried down in the order of the lines.
+    """
+    lines = files.read_lines(spark, path, suffix)
+    rows = files.long_sheet_rows(lines, SHEET_COLUMNS)
+    found = F.nullif(F.regexp_extract("Unit", SECTION_HEADER, 1), F.lit(""))
+    dated = ordered.sections(
+        rows, ["file_path"], ["block", "line_id"], found.isNotNull(), found, "Date"
+    )
+    return files.market_of_path(dated).drop("block", "line_id")
+
+
 def clean(raw: DataFrame, policy: str = "coalesce") -> DataFrame:
     """Raw text rows to ``horticulture_prices``; ``policy`` treats a missing average price."""
     named = shape.rename(shape.trim_text(shape.snake_names(raw)), {"unit": "unit_kg"})

@@ -29,7 +29,8 @@ def by_year(df: DataFrame, day: str) -> DataFrame:
 
 def write_table(df: DataFrame, path: str, day: str, mode: str = "append") -> None:
     """Append to, or overwrite, a Parquet table partitioned by year."""
-    by_year(df, day).write.mode(mode).partitionBy(YEAR).parquet(path)
+    writer = by_year(df, day).write.mode(mode).option("partitionOverwriteMode", "static")
+    writer.partitionBy(YEAR).parquet(path)
 
 
 def create_table(spark: SparkSession, table: PriceTable, location: str | None = None) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricemill.functions.text import strip
+from pricemill.operators.ordered import top_per_group
 
 BAD_RECORD = "_bad_record"
 
@@ -36,11 +37,21 @@ def read_processed(
     return spark.read.schema(schema).format(kind).load(path)
 
 
+def plain_path(file: str) -> Column:
+    """A path as written: Spark reports it URL-encoded, where '+' stands for itself."""
+    return F.url_decode(F.replace(F.col(file), F.lit("+"), F.lit("%2B")))
+
+
+def file_name(df: DataFrame, file: str = "file_path", name: str = "file_name") -> DataFrame:
+    """Last part of the path, as key for a table of file attributes."""
+    return df.withColumn(name, F.element_at(F.split(plain_path(file), "/"), -1))
+
+
 def without_files(df: DataFrame, names: Sequence[str], file: str = "file_path") -> DataFrame:
     """Leave out the rows of the named files."""
     if not names:
         return df
-    return df.filter(~F.element_at(F.split(F.col(file), "/"), -1).isin(*names))
+    return df.filter(~F.element_at(F.split(plain_path(file), "/"), -1).isin(*names))
 
 
 def read_whole_texts(
@@ -195,14 +206,52 @@ def dated_sheet_rows(
     return rows.select("file_path", *keep, section, *_named("_f", columns))
 
 
+def long_sheet_rows(
+    lines: DataFrame, columns: Sequence[str], title_lines: int = 1, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Sheet rows from ``read_lines``, for sheets too long for one record.
+
+    The header of each file, one row per file, is joined to its lines; a file that holds most
+    of the lines is a skewed join partition, which AQE splits. The result has ``file_path``,
+    ``block``, ``line_id`` (the order of the lines), ``keep`` and the named columns.
+    """
+    heads = (
+        top_per_group(
+            lines.filter(F.col("block") == 0).select("file_path", "line_id", "line"),
+            ["file_path"],
+            ["line_id"],
+            title_lines + 1,
+        )
+        .groupBy("file_path")
+        .agg(
+            F.max("line_id").alias("_head_id"),
+            F.max_by("line", "line_id").alias("_head"),
+        )
+        .select("file_path", "_head_id", _places(F.array("_head"), 0, columns).alias("_at"))
+    )
+    rows = (
+        lines.join(heads, "file_path")
+        .filter((F.col("block") > 0) | (F.col("line_id") > F.col("_head_id")))
+        .select(
+            "file_path",
+            "block",
+            "line_id",
+            *keep,
+            # One line, one record: the generator keeps the parsing from being repeated.
+            F.explode_outer(_records(F.array("line"), F.col("_at"))).alias("_f"),
+        )
+        .filter(_not_blank("_f"))
+    )
+    return rows.select("file_path", "block", "line_id", *keep, *_named("_f", columns))
+
+
 # Fixed value: the directory of a market file is <name>_<code>_<type>; the name may hold '_'.
 MARKET_DIRECTORY = r"([^/]*)_([^/_]*)_([^/_]*)/[^/]*$"
 
 
 def market_of_path(df: DataFrame, file: str = "file_path") -> DataFrame:
     """Market name, code and type from the directory of the file."""
-    # Paths are reported URL-encoded; '+' is a plain character there, unlike in a query string.
-    path = F.url_decode(F.replace(F.col(file), F.lit("+"), F.lit("%2B")))
+    path = plain_path(file)
     return df.withColumns(
         {
             name: strip(F.regexp_extract(path, MARKET_DIRECTORY, i))
@@ -210,7 +259,3 @@ def market_of_path(df: DataFrame, file: str = "file_path") -> DataFrame:
         }
     )
 
-
-def file_name(df: DataFrame, file: str = "file_path", name: str = "file_name") -> DataFrame:
-    """Last part of the path, as key for a table of file attributes."""
-    return df.withColumn(name, F.element_at(F.split(F.col(file), "/"), -1))

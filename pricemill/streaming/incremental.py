@@ -36,15 +36,18 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) ->
 
 
 def not_loaded(
-    rows: DataFrame, target: DataFrame, keys: Sequence[str], day: str | None = None
+    rows: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    day: str | None = None,
+    first: Column | None = None,
 ) -> DataFrame:
     """Rows whose key the target lacks.
 
-    When ``day`` is one of the keys only the part of the target from the first day of ``rows``
-    on is read.
+    When ``day`` is one of the keys, ``first`` is the first day of ``rows``: the part of the
+    target before it cannot match and is not read.
     """
-    if day is not None:
-        first = rows.agg(F.min(day).alias("first")).scalar()
+    if day is not None and first is not None:
         target = target.filter(F.col(day) >= first)
     known = target.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
     match: Column = F.lit(True)
@@ -71,15 +74,19 @@ def append_batch(
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch``: clean, keep the newest row per key, append what is new.
 
+    ``day``, if given, is a key column without NULL that bounds the part of the table to look at.
+
     A batch owns the folder ``batch_id=n`` and replaces it, so a batch that is run again after
     a failure leaves the same rows.
     """
 
-    def run(rows: DataFrame, batch: int) -> None:
-        rows = newest_per_key(clean(rows) if clean else rows, keys, newest)
-        before = _loaded_before(rows.sparkSession, path, batch)
+    def run(arrived: DataFrame, batch: int) -> None:
+        arrived = clean(arrived) if clean else arrived
+        rows = newest_per_key(arrived, keys, newest)
+        before = _loaded_before(arrived.sparkSession, path, batch)
         if before is not None:
-            rows = not_loaded(rows, before, keys, day)
+            first = arrived.agg(F.min(day).alias("first")).scalar() if day else None
+            rows = not_loaded(rows, before, keys, day, first)
         rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
 
     return run

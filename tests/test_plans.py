@@ -113,6 +113,40 @@ def horticulture_raw(spark, tmp_path_factory):
     return horticulture.read_sheets(spark, str(folder))
 
 
+@pytest.fixture(scope="module")
+def tiny_splits(spark):
+    """Files are cut in many splits, as long ones are."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_long_sheets_give_the_same_rows(spark, tmp_path, tiny_splits):
+    write(tmp_path, "North Gate_N1_fresh/p1.csv", HORTICULTURE_TEXT)
+    write(tmp_path, "South_S1_fresh/p1.csv", HORTICULTURE_TEXT.replace("ONE", "SIX"))
+    write(tmp_path, "South_S1_fresh/none.csv", "title line\nProduct,Unit\n")
+    short = horticulture.clean(horticulture.read_sheets(spark, str(tmp_path)))
+    long = horticulture.clean(horticulture.read_long_sheets(spark, str(tmp_path)))
+    assert sorted(map(str, long.collect())) == sorted(map(str, short.collect()))
+
+
+def test_long_grain_sheets_give_the_same_rows(spark, tmp_path, tiny_splits):
+    rows = "".join(
+        f'15 May 23 G{i},1,"3,{i:03d}",1,1,1,2,1,1,{i},"1,204",5,,08/05/2023\n' for i in range(200)
+    )
+    write(tmp_path, "a.csv", f"title line\n{GRAIN_HEAD}\n{rows}")
+    write(tmp_path, "b.csv", f"title line\n{GRAIN_HEAD}\n{rows[:500]}")
+    markets = spark.createDataFrame(
+        [("a.csv", "A", "1", "t"), ("b.csv", "B", "2", "t")],
+        "file_name string, market_name string, market_code string, market_type string",
+    )
+    short = grain.clean(grain.read_sheets(spark, str(tmp_path), markets))
+    long = grain.clean(grain.read_long_sheets(spark, str(tmp_path), markets))
+    assert short.count() > 200
+    assert sorted(map(str, long.collect())) == sorted(map(str, short.collect()))
+
+
 def test_horticulture_clean(horticulture_raw):
     df = horticulture.clean(horticulture_raw).filter("market_code = 'N1'")
     assert [(f.name, f.dataType) for f in df.schema] == [

@@ -44,9 +44,9 @@ def test_sheets_match_columns_by_name(spark, tmp_path):
 
 
 def test_suffix_and_exclude(spark, tmp_path):
-    for name in ("w1.txt", "w2.txt", "w3.log"):
+    for name in ("w1.txt", "w 2+.txt", "w3.log"):
         write(tmp_path, name, "x")
-    out = files.read_whole_texts(spark, str(tmp_path), ".txt", exclude=["w2.txt"])
+    out = files.read_whole_texts(spark, str(tmp_path), ".txt", exclude=["w 2+.txt"])
     assert [r.file_name for r in files.file_name(out).collect()] == ["w1.txt"]
 
 
