@@ -132,19 +132,21 @@ def _places(lines: Column, title_lines: int, names: Sequence[str]) -> Column:
     return F.get(found, 0)
 
 
-def _records(lines: Column, places: Column) -> Column:
-    """Delimited lines to arrays of the named columns, in their order.
+def _records(lines: Column, skip: Column | int = 0) -> Column:
+    """Delimited lines to arrays of their fields, without the first ``skip`` lines.
 
     The readers below run this inside a generator, so that filters pushed down over the columns
     do not repeat the parsing. They use the outer form of the generator, since for the plain
     one Spark adds a not-empty filter that would parse everything again.
     """
-    split = F.transform(lines, _fields)
-    return F.transform(split, lambda f: F.transform(places, lambda p: F.get(f, p.cast("int") - 1)))
+    return F.transform(F.slice(lines, F.lit(skip) + 1, F.size(lines)), _fields)
 
 
-def _named(fields: str, names: Sequence[str]) -> list[Column]:
-    return [F.get(fields, i).alias(name) for i, name in enumerate(names)]
+def _named(fields: str, places: str, names: Sequence[str]) -> list[Column]:
+    """Named columns of a record; one that the header lacks is NULL."""
+    return [
+        F.get(fields, F.get(places, i).cast("int") - 1).alias(name) for i, name in enumerate(names)
+    ]
 
 
 def _not_blank(fields: str) -> Column:
@@ -168,11 +170,17 @@ def sheet_rows(
         .select(
             "file_path",
             *keep,
-            F.posexplode_outer(_records(lines, F.col("_at"))).alias("line_no", "_f"),
+            "_at",
+            F.posexplode_outer(_records(lines, title_lines + 1)).alias("_no", "_f"),
         )
-        .filter((F.col("line_no") > title_lines) & _not_blank("_f"))
+        .filter(_not_blank("_f"))
+    )
+    return rows.select(
+        "file_path",
+        (F.col("_no") + (title_lines + 1)).alias("line_no"),
+        *keep,
+        *_named("_f", "_at", columns),
     )
-    return rows.select("file_path", "line_no", *keep, *_named("_f", columns))
 
 
 def dated_sheet_rows(
@@ -196,14 +204,16 @@ def dated_sheet_rows(
         "file_path", *keep, "_at", F.posexplode_outer(F.split("text", cut)).alias("_piece", "_body")
     )
     found = F.regexp_extract(F.get(text_lines(F.col("_body")), 0), header_pattern, 1)
+    # The first piece starts with title and column names, the others with their section header.
+    skip = F.when(F.col("_piece") > 0, 1).otherwise(title_lines + 1)
     rows = pieces.select(
         "file_path",
         *keep,
+        "_at",
         F.when(F.col("_piece") > 0, found).alias(section),
-        F.when(F.col("_piece") > 0, 0).otherwise(title_lines).alias("_skip"),
-        F.posexplode_outer(_records(text_lines(F.col("_body")), F.col("_at"))).alias("_no", "_f"),
-    ).filter((F.col("_no") > F.col("_skip")) & _not_blank("_f"))
-    return rows.select("file_path", *keep, section, *_named("_f", columns))
+        F.explode_outer(_records(text_lines(F.col("_body")), skip)).alias("_f"),
+    ).filter(_not_blank("_f"))
+    return rows.select("file_path", *keep, section, *_named("_f", "_at", columns))
 
 
 def long_sheet_rows(
@@ -238,11 +248,12 @@ def long_sheet_rows(
             "line_id",
             *keep,
             # One line, one record: the generator keeps the parsing from being repeated.
-            F.explode_outer(_records(F.array("line"), F.col("_at"))).alias("_f"),
+            "_at",
+            F.explode_outer(_records(F.array("line"))).alias("_f"),
         )
         .filter(_not_blank("_f"))
     )
-    return rows.select("file_path", "block", "line_id", *keep, *_named("_f", columns))
+    return rows.select("file_path", "block", "line_id", *keep, *_named("_f", "_at", columns))
 
 
 # Fixed value: the directory of a market file is <name>_<code>_<type>; the name may hold '_'.
