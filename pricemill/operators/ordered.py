@@ -243,6 +243,27 @@ def number_rows(
     )
 
 
+# Fixed value: up to this many rows per group Spark limits before the shuffle
+# (the default of spark.sql.optimizer.windowGroupLimitThreshold).
+LIMIT_BEFORE_SHUFFLE = 1000
+
+
+def _leading(
+    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int, name: str
+) -> DataFrame:
+    """First n rows of each group with their number.
+
+    A small limit is applied before the shuffle (WindowGroupLimit), so a hot group stays small.
+    For a larger one in ascending order hot groups are cut in spans.
+    """
+    if n > LIMIT_BEFORE_SHUFFLE and all(isinstance(c, str) for c in order):
+        numbered = number_rows(df, group, order, name)
+    else:
+        row = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+        numbered = df.withColumn(name, row)
+    return numbered.filter(F.col(name) <= n)
+
+
 def label_blocks(
     df: DataFrame,
     group: Sequence[str],
@@ -251,13 +272,8 @@ def label_blocks(
     size: int,
     name: str,
 ) -> DataFrame:
-    """Consecutive blocks of ``size`` rows get the labels in turn; rows past the last block go.
-
-    Only the first ``size * len(labels)`` rows of a group matter, and Spark applies that limit
-    before the shuffle (WindowGroupLimit), so a hot group stays small.
-    """
-    row = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    numbered = df.withColumn("_row", row).filter(F.col("_row") <= size * len(labels))
+    """Consecutive blocks of ``size`` rows get the labels in turn; rows past the last block go."""
+    numbered = _leading(df, group, order, size * len(labels), "_row")
     block = F.floor((F.col("_row") - 1) / size).cast("int")
     return numbered.withColumn(name, F.get(F.array(*[F.lit(x) for x in labels]), block)).drop(
         "_row"
@@ -267,9 +283,8 @@ def label_blocks(
 def top_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int = 1
 ) -> DataFrame:
-    """First n rows of each group in the stated order; limited before the shuffle as well."""
-    row = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn("_row", row).filter(F.col("_row") <= n).drop("_row")
+    """First n rows of each group in the stated order."""
+    return _leading(df, group, order, n, "_row").drop("_row")
 
 
 def spread_first(

@@ -261,6 +261,12 @@ def test_blocks(rows):
     ]
 
 
+def test_large_limits_take_the_same_rows(rows):
+    df = rows("g string, x int", *[("a", i) for i in range(2500)], ("b", 1))
+    out = ordered.top_per_group(df, ["g"], ["x"], 2000).collect()
+    assert sorted((r.g, r.x) for r in out) == [("a", i) for i in range(2000)] + [("b", 1)]
+
+
 def test_spread_first(rows):
     df = rows("f string, pos int, v string", ("a", 2, "x"), ("a", 1, None), (None, 5, "z"), (None, 6, "y"))
     out = ordered.spread_first(df, ["f"], ["pos"], [("v", "head"), ("pos", "at")])
