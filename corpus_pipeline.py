@@ -4,19 +4,37 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricemill.llm import simhash
+from pricemill.llm import quality, secrets, simhash, substrings
 from pricemill.llm.common import documents, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the rules, without the lines that too many of their host share."""
+    return quality.keep_good(docs)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     return simhash.keep_one(docs, shingle=4, radius=4)
 
 
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages of 20 words and more that start earlier in the corpus."""
+    return substrings.without_repeats(docs, width=20)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with their secrets masked."""
+    return secrets.without_secrets(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("secret_scans", secret_scans),
 ]
 
 #: SQL can't express the stages; tests hold them against brute force.

@@ -2,10 +2,10 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricemill.llm import simhash
+from pricemill.llm import quality, secrets, simhash, substrings
 from pricemill.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,31 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@query("op2_secrets")
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scanned(documents(spark, sf_dir), max_owners=1)
+    base = F.filter("spans", lambda s: s["kind"] < secrets.BASE)
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        number(0).alias("n_assign"),
+        number(1).alias("n_access"),
+        number(2).alias("n_hex"),
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["live"])).cast("bigint").alias("n_live"),
+    )
+
+
+@query("op3_quality_rules")
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality(documents(spark, sf_dir))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, radius=4)
@@ -33,3 +58,14 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         digits.alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+@query("op9_repeated_passages")
+def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(documents(spark, sf_dir), width=20)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_removed",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
