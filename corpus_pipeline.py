@@ -3,16 +3,24 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricemill.llm import quality, secrets, simhash, substrings
 from pricemill.llm.common import documents, stored
+from pricemill.llm.queries import packed
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def counted(docs: DataFrame) -> DataFrame:
+    """The documents with ``n_chars`` of the text as it is now."""
+    n_chars = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
+    return docs.withColumn("n_chars", n_chars)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines that too many of their host share."""
-    return quality.keep_good(docs)
+    return counted(quality.keep_good(docs))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,12 +30,17 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of 20 words and more that start earlier in the corpus."""
-    return substrings.without_repeats(docs, width=20)
+    return counted(substrings.without_repeats(docs, width=20))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their secrets masked."""
-    return secrets.without_secrets(docs)
+    return counted(secrets.without_secrets(docs))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces and their places in training sequences."""
+    return packed(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -35,6 +48,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("simhash_near_dedup", simhash_near_dedup),
     ("substring_dedup", substring_dedup),
     ("secret_scans", secret_scans),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 #: SQL can't express the stages; tests hold them against brute force.

@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricemill.llm import quality, secrets, simhash, substrings
+from pricemill.llm import packing, quality, secrets, simhash, substrings
 from pricemill.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,24 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces of the documents with the CRC-32 of their ids, packed into sequences."""
+    found = packing.pieces(docs, tokenizer_path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+    found = found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(found, capacity=1024).withColumnRenamed("id", "doc_id")
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(documents(spark, sf_dir))
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, radius=4)
