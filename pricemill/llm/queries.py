@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricemill.llm import packing, quality, secrets, simhash, substrings
+from pricemill.llm import bpe, mixing, packing, quality, secrets, simhash, substrings
 from pricemill.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,3 +87,21 @@ def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_removed",
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query("op8_context_mixing")
+def op8_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return mixing.scored(docs.withColumn("held_out", held_out)).withColumnRenamed("id", "doc_id")
+
+
+@query("op10_bpe_automaton")
+def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.tokenized(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
