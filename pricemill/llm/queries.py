@@ -5,7 +5,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricemill.llm import bpe, mixing, packing, quality, secrets, simhash, substrings
+from pricemill.llm import (
+    bpe,
+    mixing,
+    packing,
+    quality,
+    secrets,
+    simhash,
+    substrings,
+    toxicity,
+)
 from pricemill.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +76,19 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(documents(spark, sf_dir))
 
 
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string")) % 5
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(remainder != 0)
+    found = toxicity.scored(documents(spark, sf_dir), labels).withColumnRenamed("id", "doc_id")
+    return found.select(
+        "doc_id",
+        (remainder == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, radius=4)
