@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricemill.llm import (
     bpe,
+    embeddings,
     mixing,
     packing,
     quality,
@@ -14,6 +15,7 @@ from pricemill.llm import (
     simhash,
     substrings,
     toxicity,
+    warc,
 )
 from pricemill.llm.common import documents
 
@@ -64,6 +66,35 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query(
+    "op1_embedding_dedup",
+    """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
+), r AS (
+  SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x
+), c AS (
+  SELECT x, min(y) AS least FROM r GROUP BY x
+), n AS (
+  SELECT x, count(*) AS n_links FROM l GROUP BY x
+)
+SELECT vec_id, coalesce(n_links, 0) AS n_links,
+       least(vec_id, coalesce(least, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM embeddings LEFT JOIN n ON n.x = vec_id LEFT JOIN c ON c.x = vec_id
+""",
+)
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.withColumnsRenamed({"id": "vec_id", "component": "component_id"})
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces of the documents with the CRC-32 of their ids, packed into sequences."""
     found = packing.pieces(docs, tokenizer_path("byte_bpe_50k.json"), capacity=1024, end_id=2)
@@ -89,6 +120,29 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "op6_warc",
+    """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
+), d AS (
+  SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest
+  FROM p
+), h AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS head FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND head <> page_id THEN 'revisit' ELSE 'response' END
+         AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND head <> page_id THEN head END AS refers_to
+FROM h
+""",
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op7_simhash")
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, radius=4)
