@@ -4,25 +4,16 @@ import json
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from pricemill.llm.common import pick
+from pricemill.llm.common import BLANK, LETTERS, PLAIN, byte_characters, pick
 
 #: Distinct words that a task remembers at most.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 START = -1
-#: Letters that have one code point, and one in lower case.
-LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f"
-#: Texts of such letters, ASCII and common signs: normalising them is no more than lower().
-PLAIN = re.compile(
-    f"[\\x00-\x7f\\x85\\xa0-\\xa9\\xab-\\xb1\\xb4\\xb6-\\xb8\\xbb\\xbf\\xd7\\xf7\u2010-\u2027\u2030-\u203a"
-    f"{LETTERS}]*"
-)
-#: How the file's pre-tokenizer cuts them.
-WORDS = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[^\\x09-\\x0D\\x20\\x85\\xa0a-z0-9{LETTERS}]+"
-)
+#: How the file's pre-tokenizer cuts plain texts in lower case.
+WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[^{BLANK}a-z0-9{LETTERS}]+")
 
 
 class Automaton:
@@ -139,14 +130,6 @@ class Automaton:
         return path[::-1]
 
 
-def byte_characters() -> list[str]:
-    """The characters that stand for the bytes 0 to 255 in files of byte-level tokenizers:
-    printable ones for themselves, the others from 256 on in order."""
-    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = iter(range(256, 512))
-    return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
-
-
 def _symbols(vocabulary: dict[str, int], word_end: str) -> list[str]:
     both = [c + end for c in byte_characters() for end in ("", word_end)]
     return [symbol for symbol in both if symbol in vocabulary]
@@ -225,15 +208,20 @@ def tokenized(
     """
     rows = pick(df, id=id_column, text=text_column)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Tokenizer(tokenizer)
         for batch in batches:
-            for k in range(0, len(batch), 500):
-                some = batch.iloc[k : k + 500]
-                found = [coder.encode(t if isinstance(t, str) else "") for t in some["text"]]
-                out = pd.DataFrame(found, columns=["ids", "decoded"])
-                out.insert(0, "id", some["id"].to_numpy())
-                yield out
+            for k in range(0, len(batch), 200):
+                some = batch.slice(k, 200)
+                found = [coder.encode(text or "") for text in some["text"].to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        some["id"],
+                        pa.array([ids for ids, _ in found], pa.binary()),
+                        pa.array([decoded for _, decoded in found], pa.string()),
+                    ],
+                    ["id", "ids", "decoded"],
+                )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"id {kind}, ids binary, decoded string")
+    return rows.mapInArrow(run, f"id {kind}, ids binary, decoded string")
