@@ -39,14 +39,29 @@ def not_zero(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column) != 0)
 
 
-def trailing(df: DataFrame, column: str, as_of: date | str, days: int = 365) -> DataFrame:
-    """Rows strictly later than ``days`` before ``as_of``."""
-    return df.filter(F.col(column) > days_before(as_of, days))
+def _years_from(df: DataFrame, first: Column, year: str | None) -> DataFrame:
+    """Only the partitions that can hold dates from ``first`` on, by the partition column."""
+    return df if year is None else df.filter(F.col(year) >= F.year(first))
 
 
-def since(df: DataFrame, column: str, as_of: date | str, days: int) -> DataFrame:
+def trailing(
+    df: DataFrame, column: str, as_of: date | str, days: int = 365, year: str | None = None
+) -> DataFrame:
+    """Rows strictly later than ``days`` before ``as_of``.
+
+    ``year`` names the partition column with the year of ``column``, if the table has one: earlier
+    folders are not read then.
+    """
+    first = days_before(as_of, days)
+    return _years_from(df, first, year).filter(F.col(column) > first)
+
+
+def since(
+    df: DataFrame, column: str, as_of: date | str, days: int, year: str | None = None
+) -> DataFrame:
     """Load window: rows from ``days`` before ``as_of`` on (7 weekly, 90 backfill)."""
-    return df.filter(F.col(column) >= days_before(as_of, days))
+    first = days_before(as_of, days)
+    return _years_from(df, first, year).filter(F.col(column) >= first)
 
 
 def still_open(df: DataFrame, column: str, as_of: date | str) -> DataFrame:
@@ -112,7 +127,7 @@ def period_start(last: Column, period: str) -> Column:
     raise ValueError(f"period must be one of {PERIODS}, not {period!r}")
 
 
-def period(df: DataFrame, column: str, preset: str) -> DataFrame:
+def period(df: DataFrame, column: str, preset: str, year: str | None = None) -> DataFrame:
     """Range preset counted back from the newest date of the frame.
 
     The newest date is a scalar subquery: one value, found by a map-side aggregate, and pushed
@@ -121,7 +136,8 @@ def period(df: DataFrame, column: str, preset: str) -> DataFrame:
     if preset == "all":
         return df
     newest = df.agg(F.max(column).cast("date").alias("newest")).scalar()
-    return df.filter(F.col(column) >= period_start(newest, preset))
+    first = period_start(newest, preset)
+    return _years_from(df, first, year).filter(F.col(column) >= first)
 
 
 def between_positions(df: DataFrame, position: str, first: int, last: int) -> DataFrame:

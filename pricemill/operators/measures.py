@@ -140,14 +140,23 @@ def distinct_counts(
 ) -> DataFrame:
     """Distinct values per column in one row.
 
-    ``null_is_value`` counts NULL as one more value. With ``error`` the counts are
-    approximate and need no shuffle of the values.
+    ``null_is_value`` counts NULL as one more value. Each count is a scalar subquery over its own
+    column: distinct values are combined in the map tasks, and no row is copied for each column.
+    With ``error`` the counts are approximate, from one pass without a shuffle of the values.
     """
-    def count(c: str) -> Column:
-        n = F.count_distinct(F.col(c)) if error is None else F.approx_count_distinct(c, error)
-        return n + F.max(F.col(c).isNull().cast("int")) if null_is_value else n
+    if error is not None:
 
-    return df.agg(*[count(c).alias(c) for c in columns])
+        def about(c: str) -> Column:
+            n = F.approx_count_distinct(c, error)
+            return n + F.max(F.col(c).isNull().cast("int")) if null_is_value else n
+
+        return df.agg(*[about(c).alias(c) for c in columns])
+
+    def exact(c: str) -> Column:
+        values = df.select(c).distinct()
+        return values.agg(F.count("*") if null_is_value else F.count(c)).scalar()
+
+    return df.sparkSession.range(1).select(*[exact(c).alias(c) for c in columns])
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

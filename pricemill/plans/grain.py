@@ -39,7 +39,7 @@ PARSE = {
         c: _thousands("double")
         for c in ("volatility", "bid", "offer", "market_to_market", "first", "last", "high", "low")
     },
-    "contracts": _thousands("int"),
+    "contracts": _thousands("bigint"),
     "value": _thousands("bigint"),
     "upload_date": lambda c: dates.parse_date(c, dates.SHEET_DATE),
     **{c: text.strip for c in MARKET_COLUMNS},
@@ -56,14 +56,15 @@ def read_sheets(
     """
     texts = files.file_name(files.read_whole_texts(spark, path, suffix))
     texts = shape.attach(texts, markets, "file_name")
-    return files.sheet_rows(texts, SHEET_COLUMNS, keep=MARKET_COLUMNS)
+    return files.sheet_rows(texts, SHEET_COLUMNS, keep=MARKET_COLUMNS, required=SHEET_COLUMNS)
 
 
 def read_long_sheets(
     spark: SparkSession, path: str, markets: DataFrame, suffix: str = ""
 ) -> DataFrame:
     """The same rows from sheets that are too long to be one record each."""
-    rows = files.long_sheet_rows(files.read_lines(spark, path, suffix), SHEET_COLUMNS)
+    lines = files.read_lines(spark, path, suffix)
+    rows = files.long_sheet_rows(lines, SHEET_COLUMNS, required=SHEET_COLUMNS)
     named = shape.attach(files.file_name(rows), markets, "file_name")
     return named.select("file_path", *MARKET_COLUMNS, *SHEET_COLUMNS)
 

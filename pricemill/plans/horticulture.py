@@ -26,6 +26,7 @@ SHEET_COLUMNS = (
     "Sales Quantity",
     "Closing Stock",
 )
+REQUIRED = ("Product", "Unit")
 # Fixed value: a section header holds a written-out date, such as 'Monday, 1 May 2023'.
 SECTION_HEADER = r"((?:[A-Za-z]+day, )?\d{1,2} [A-Za-z]+ 20\d\d)"
 
@@ -46,8 +47,10 @@ def read_sheets(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
         texts,
         SHEET_COLUMNS,
         SECTION_HEADER,
+        section_column="Unit",
         section="Date",
         keep=("market_name", "market_code", "market_type"),
+        required=REQUIRED,
     )
     return filters.not_blank(rows, SHEET_COLUMNS)
 
@@ -58,7 +61,7 @@ def read_long_sheets(spark: SparkSession, path: str, suffix: str = "") -> DataFr
     Lines are read in splits, and the section date is carried down in the order of the lines.
     """
     lines = files.read_lines(spark, path, suffix)
-    rows = files.long_sheet_rows(lines, SHEET_COLUMNS)
+    rows = files.long_sheet_rows(lines, SHEET_COLUMNS, required=REQUIRED)
     found = F.nullif(F.regexp_extract("Unit", SECTION_HEADER, 1), F.lit(""))
     dated = ordered.sections(
         rows, ["file_path"], ["block", "line_id"], found.isNotNull(), found, "Date"

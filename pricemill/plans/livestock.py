@@ -64,7 +64,7 @@ def _clean(
     number = {
         f.name: (lambda c, kind=f.dataType.simpleString(): numbers.decimal_comma_number(c, kind))
         for f in table.columns
-        if f.dataType.simpleString() in ("int", "double")
+        if f.dataType.simpleString() in ("bigint", "double")
     }
     day = {d: lambda c: dates.parse_date(c, dates.REPORT_DATE) for d in ("date_from", "date_to")}
     label = {"class": numbers.decimal_comma}

@@ -4,7 +4,9 @@ Averages and ratios are rounded to four places on both sides. Dates of the quest
 (``as_of``) are fixed per query.
 """
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -753,7 +755,7 @@ def _quoted(number: str) -> Column:
     "grain_sheets",
     """
 SELECT strftime(o_orderdate, '%-d %b %y ') || o_orderstatus AS contract_type,
-       o_totalprice AS bid, o_totalprice AS last, CAST(o_custkey AS INTEGER) AS deals,
+       o_totalprice AS bid, o_totalprice AS last, o_custkey + 3000000000 AS deals,
        o_orderkey AS value, CAST(o_orderdate AS DATE) AS upload_date, o_orderpriority AS market_name
 FROM orders
 """,
@@ -761,18 +763,19 @@ FROM orders
 def grain_sheets(spark: SparkSession, folder: str) -> DataFrame:
     contract = F.concat(F.date_format("o_orderdate", "d MMM yy"), F.lit(" "), F.col("o_orderstatus"))
     price, day = _quoted("o_totalprice"), F.date_format("o_orderdate", "dd/MM/yyyy")
-    # Column order differs between sheets; names decide.
+    deals = F.col("o_custkey") + 3_000_000_000  # beyond 32 bits
+    # Column order, case and blanks differ between sheets; names decide.
     plain = _text(
         "title, with a comma",
-        "Contract Type,Volatility,Bid,Offer,Market to Market,First,Last,High,Low,Deals,Conts,Value,,Upload Date",
-        _csv(contract, "1", price, "1", "1", "1", price, "1", "1", F.col("o_custkey"), '"1,204"',
-             F.col("o_orderkey"), "", day),
+        "contract type,Volatility,Bid,Offer,MARKET  to Market,First,Last,High,Low,Deals,conts,Value,,Upload Date",
+        _csv(contract, "1", price, "1", "1", "1", price, "1", "1", deals, '"1,204"',
+             F.col("o_orderkey"), '"two\nlines, ""quoted"""', day),
         "",
     )
     turned = _text(
         "title",
         "Upload Date,Value,Conts,Deals,Low,High,Last,First,Market to Market,Offer,Bid,Volatility,Contract Type",
-        _csv(day, F.col("o_orderkey"), "2", F.col("o_custkey"), "1", "1", price, "1", "1", "1", price, " 1 ",
+        _csv(day, F.col("o_orderkey"), "2", deals, "1", "1", price, "1", "1", "1", price, " 1 ",
              contract),
         # No volatility: an incomplete row, which the clean-up drops.
         _csv(day, F.col("o_orderkey"), "2", "7", "1", "1", price, "1", "1", "1", price, " ", contract),
@@ -784,7 +787,9 @@ def grain_sheets(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("t").alias("market_type"),
         F.when(F.col("o_orderstatus") == "O", turned).otherwise(plain).alias("text"),
     )
-    raw = files.sheet_rows(texts, grain.SHEET_COLUMNS, keep=grain.MARKET_COLUMNS)
+    raw = files.sheet_rows(
+        texts, grain.SHEET_COLUMNS, keep=grain.MARKET_COLUMNS, required=grain.SHEET_COLUMNS
+    )
     return grain.clean(raw).select(
         "contract_type", "bid", "last", "deals", "value", "upload_date", "market_name"
     )
@@ -794,7 +799,7 @@ def grain_sheets(spark: SparkSession, folder: str) -> DataFrame:
     "horticulture_sheets",
     """
 SELECT p_name AS product, CAST(p_partkey AS VARCHAR) AS product_code, p_brand AS variety,
-       p_size AS unit_kg, CASE WHEN n < 2 THEN p_retailprice ELSE 20.5 END AS average_price,
+       CAST(p_size AS BIGINT) AS unit_kg, CASE WHEN n < 2 THEN p_retailprice ELSE 20.5 END AS average_price,
        CAST(1510 AS DOUBLE) AS total_sales,
        CASE n WHEN 1 THEN DATE '2023-05-01' WHEN 2 THEN DATE '2023-05-02'
               WHEN 3 THEN DATE '2023-05-02' END AS date,
@@ -807,8 +812,10 @@ def horticulture_sheets(spark: SparkSession, folder: str) -> DataFrame:
     unit = F.concat(F.col("p_size").cast("string"), F.lit(" kg"))
 
     def row(average: Column | str) -> Column:
+        # Text that looks like a section header, and a line break, in other fields.
+        kind = F.concat(F.col("p_type"), F.lit(" harvest 3 June 2023"))
         return _csv(
-            product, F.col("p_brand"), F.col("p_type"), "M", "BAG", unit, "20.5", "3", "2", average,
+            product, F.col("p_brand"), kind, "M", '"BAG 5 kg\n4 July 2000 x"', unit, "20.5", "3", "2", average,
             '"R1,510.00"', "30", "7",
         )
 
@@ -820,7 +827,7 @@ def horticulture_sheets(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("file_path"),
         _text(
             "title line",
-            ",".join(horticulture.SHEET_COLUMNS),
+            ",".join(horticulture.SHEET_COLUMNS).lower(),
             row(price),
             ',,,,,"Monday, 1 May 2023",,,,,,,',
             row(price),
@@ -838,6 +845,7 @@ def horticulture_sheets(spark: SparkSession, folder: str) -> DataFrame:
         files.market_of_path(texts),
         horticulture.SHEET_COLUMNS,
         horticulture.SECTION_HEADER,
+        section_column="Unit",
         section="Date",
         keep=("market_name", "market_code", "market_type"),
     )
@@ -1287,12 +1295,17 @@ def rule_losses(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("rows_per_file")
+@query(
+    "rows_per_file",
+    "SELECT 'lineitem.parquet' AS file_name, count(*) AS rows FROM lineitem",
+)
 def rows_per_file(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem").select(
         F.col("_metadata.file_path").alias("file_path")
     )
-    counted = quality.rows_per_file(lines)
+    # The table's own name stands for its files: the table may have one file or many.
+    table_path = F.regexp_replace("file_path", r"(lineitem\.parquet)/[^/]*$", "$1")
+    counted = quality.rows_per_file(lines.withColumn("file_path", table_path))
     return files.file_name(counted).select("file_name", "rows")
 
 
@@ -1334,7 +1347,7 @@ def table_append(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "catalog_table",
     """
-SELECT o_orderpriority AS class, CAST(o_custkey AS INTEGER) AS units, o_totalprice AS avg_purch,
+SELECT o_orderpriority AS class, o_custkey AS units, o_totalprice AS avg_purch,
        CAST(o_orderdate AS DATE) AS date_from, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
 """,
 )
@@ -1348,9 +1361,15 @@ def catalog_table(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderdate").alias("date_to"),
         *[nothing.alias(c) for c in ("avg_mass", "avg_selling", "selling_min", "selling_max")],
     )
-    sinks.create_table(spark, CATTLE, run_folder(spark, "catalog"))
-    sinks.load_table(rows, CATTLE, mode="overwrite")
-    return read_table(spark, CATTLE.name).select("class", "units", "avg_purch", "date_from", "year")
+    # A name of its own: the product's tables stay as they are.
+    own = replace(CATTLE, name=f"{CATTLE.name}_{uuid.uuid4().hex}")
+    sinks.create_table(spark, own, run_folder(spark, "catalog"))
+    sinks.load_table(rows, own, mode="overwrite")
+    found = read_table(spark, own.name).select("class", "units", "avg_purch", "date_from", "year")
+    copy = f"{run_folder(spark, 'catalog')}/copy"
+    found.write.parquet(copy)
+    spark.sql(f"DROP TABLE {own.name}")
+    return spark.read.parquet(copy)
 
 
 @query(
@@ -1366,22 +1385,43 @@ def stage_rows(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path).select("s_suppkey", "s_acctbal", "family")
 
 
-@query("stream_load", SQL["newest_per_key"])
+@query(
+    "stream_load",
+    """
+WITH e AS (
+  SELECT event_id, user_id, event_type, ts, event_id % 2 = 0 AS early
+  FROM events
+), f AS (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS k,
+         row_number() OVER (PARTITION BY user_id, event_type, early
+                            ORDER BY ts DESC, event_id DESC) AS own,
+         bool_or(early) OVER (PARTITION BY user_id, event_type) AS known
+  FROM e
+)
+SELECT user_id, event_type, event_id FROM f
+WHERE CASE WHEN known THEN early AND own = 1 ELSE k = 1 END
+""",
+)
 def stream_load(spark: SparkSession, folder: str) -> DataFrame:
-    schema = T.StructType(
-        [
-            T.StructField("event_id", T.LongType()),
-            T.StructField("ts", T.TimestampNTZType()),
-            T.StructField("user_id", T.LongType()),
-            T.StructField("event_type", T.StringType()),
-        ]
-    )
-    # A pattern, since a stream reads folders: it fits a table of one file and one of many.
-    stream = incremental.new_files(spark, f"{folder}/events.parquet*", schema)
+    """Two loads that overlap, the second with a checkpoint of its own: keys of the first stay."""
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type")
+    day = F.date_add(F.lit("2024-01-01"), (F.col("user_id") % 28).cast("int"))
+    events = events.withColumn("day", F.when(F.col("user_id") % 7 != 0, day))
     path = run_folder(spark, "stream")
-    incremental.load_new_files(
-        stream, f"{path}/rows", f"{path}/checkpoint", ["user_id", "event_type"], ["ts", "event_id"]
-    ).awaitTermination()
+    events.filter(F.col("event_id") % 2 == 0).write.parquet(f"{path}/in/first")
+    for n, batch in enumerate(("first", "second", "third")):
+        if batch == "second":  # all events: half of them were loaded before
+            events.write.parquet(f"{path}/in/second")
+        stream = incremental.new_files(spark, f"{path}/in/*", events.schema)
+        incremental.load_new_files(
+            stream,
+            f"{path}/rows",
+            # The third load starts with an empty checkpoint and meets all files again.
+            f"{path}/checkpoint{n // 2}",
+            ["user_id", "event_type", "day"],
+            ["ts", "event_id"],
+            day="day",
+        ).awaitTermination()
     return spark.read.parquet(f"{path}/rows").select("user_id", "event_type", "event_id")
 
 

@@ -5,8 +5,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 TEXT = T.StringType()
-WHOLE = T.IntegerType()
-LONG = T.LongType()
+WHOLE = T.LongType()
 REAL = T.DoubleType()
 DAY = T.DateType()
 
@@ -45,7 +44,7 @@ GRAIN = PriceTable(
         ("low", REAL),
         ("deals", WHOLE),
         ("contracts", WHOLE),
-        ("value", LONG),
+        ("value", WHOLE),
         ("upload_date", DAY),
         ("market_name", TEXT),
         ("market_code", TEXT),

@@ -41,9 +41,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
-@functools.cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="pricemill-")
+    """A folder that goes when the process ends."""
+    return _temporary().name
+
+
+@functools.cache
+def _temporary() -> tempfile.TemporaryDirectory:
+    return tempfile.TemporaryDirectory(prefix="pricemill-", ignore_cleanup_errors=True)
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:

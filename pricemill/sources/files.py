@@ -1,12 +1,12 @@
 """Delimited files: typed and text scans, sheets with a title line, file attributes."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricemill.functions.text import strip
+from pricemill.functions.text import snake_name, strip
 from pricemill.operators.ordered import top_per_group
 
 BAD_RECORD = "_bad_record"
@@ -102,128 +102,195 @@ def text_lines(text: Column) -> Column:
     return F.split(text, "\r?\n")
 
 
-# Fixed value: one field of a delimited line with its end; quoted fields may hold commas.
-FIELD = r'("[^"]*+(?:""[^"]*+)*+"|[^,]*)(?:,|$)'
+#: Columns that a sheet may have; a wider header is an error.
+WIDTH = 32
+# A field, whose quotes may hold commas and line breaks, and a record of fields.
+FIELD = r'(?:"(?:[^"]++|"")*+"[^,\r\n]*+|[^,\r\n]*+)'
+RECORD = rf"({FIELD}(?:,{FIELD})*+)(?:\r\n|\r|\n|\z)"
+# Fixed value: a field whose quotes don't end on the line.
+OPEN_QUOTE = r'^(?:"(?:[^"]++|"")*+"[^,]*+,|[^",][^,]*+,|,)*+"(?:[^"]++|"")*+$'
+_CSV_SCHEMA = ", ".join(f"c{i} string" for i in range(WIDTH))
 
 
-def _unquoted(field: Column) -> Column:
-    """Text of a field; an empty one is NULL."""
-    size = F.length(field)
-    quoted = F.startswith(field, F.lit('"')) & F.endswith(field, F.lit('"')) & (size > 1)
-    inner = F.replace(F.substring(field, 2, size - 2), F.lit('""'), F.lit('"'))
-    return F.when(quoted, F.when(size > 2, inner)).when(field != "", field)
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _fields(line: Column) -> Column:
-    """Fields of a line of any width; only lines with quotes need the pattern."""
-    split = F.transform(F.regexp_extract_all(line, F.lit(FIELD), F.lit(1)), _unquoted)
-    simple = F.transform(F.split(line, ","), lambda f: F.when(f != "", f))
-    return F.when(F.contains(line, F.lit('"')), split).otherwise(simple)
+def records_of(text: Column) -> Column:
+    """Delimited records of a whole text; line breaks in quoted fields stay inside."""
+    return F.regexp_extract_all(text, F.lit(RECORD), F.lit(1))
 
 
-def _places(lines: Column, title_lines: int, names: Sequence[str]) -> Column:
-    """Position of each named column in the sheet's header (from 1, 0 if the sheet lacks it)."""
-    wanted = F.array(*[F.lit(n) for n in names])
-    # One-element arrays bind the header, so that it is parsed once and not once per name.
-    header = F.transform(
-        F.slice(lines, title_lines + 1, 1), lambda line: F.transform(_fields(line), strip)
-    )
-    found = F.transform(header, lambda h: F.transform(wanted, lambda n: F.array_position(h, n)))
-    return F.get(found, 0)
+def _parsed(record: Column) -> Column:
+    """Fields of a record as a struct, by Spark's CSV parser."""
+    return F.from_csv(record, _CSV_SCHEMA, {"escape": '"', "mode": "PERMISSIVE"})
 
 
-def _records(lines: Column, skip: Column | int = 0) -> Column:
-    """Delimited lines to arrays of their fields, without the first ``skip`` lines.
+def _values(parsed: Column) -> Column:
+    return F.array(*[parsed[f"c{i}"] for i in range(WIDTH)])
 
-    The readers below run this inside a generator, so that filters pushed down over the columns
-    do not repeat the parsing. They use the outer form of the generator, since for the plain
-    one Spark adds a not-empty filter that would parse everything again.
-    """
-    return F.transform(F.slice(lines, F.lit(skip) + 1, F.size(lines)), _fields)
 
+def _column_name(header: Column) -> Column:
+    """``snake_name`` of a header field."""
+    return F.lower(F.regexp_replace(strip(header), r"(?U)\s+", "_"))
 
-def _named(fields: str, places: str, names: Sequence[str]) -> list[Column]:
-    """Named columns of a record; one that the header lacks is NULL."""
-    return [
-        F.get(fields, F.get(places, i).cast("int") - 1).alias(name) for i, name in enumerate(names)
-    ]
 
+def _places(
+    header: Column, names: Sequence[str], required: Sequence[str], file: Column
+) -> Column:
+    """Position of each named column in a header record (from 1, 0 if the sheet lacks it).
+
+    Names are compared without regard to case and blanks. A sheet that lacks a required column,
+    or is too wide, is an error that names its file: its rows would be lost otherwise.
+    """
+    wanted = F.array(*[F.lit(snake_name(n)) for n in names])
+    needed = [list(names).index(n) for n in required]
+
+    def checked(found: Column) -> Column:
+        lacking = F.lit(False)
+        for i in needed:
+            lacking = lacking | (F.get(found, i) == 0)
+        text = F.concat(F.lit("the sheet lacks a column: "), file)
+        return F.when(lacking, F.raise_error(text).cast("array<bigint>")).otherwise(found)
+
+    found = bound(
+        F.transform(_values(_parsed(header)), _column_name),
+        lambda own: F.transform(wanted, lambda n: F.coalesce(F.array_position(own, n), F.lit(0))),
+    )
+    fields = F.regexp_count(header, F.lit(f"{FIELD}(?:,|$)"))
+    wide = F.raise_error(F.concat(F.lit("the sheet is too wide: "), file)).cast("array<bigint>")
+    some = F.when(fields > WIDTH + 1, wide).otherwise(bound(found, checked))
+    none = F.transform(wanted, lambda _: F.lit(0).cast("bigint"))
+    return F.when(header.isNull(), none).otherwise(some)
 
-def _not_blank(fields: str) -> Column:
-    return F.exists(fields, lambda f: strip(f) != "")
+
+def _rows(df: DataFrame, columns: Sequence[str], kept: Sequence[str]) -> DataFrame:
+    """Named columns of parsed records ``_f``, with positions ``_at``; blank records go.
+
+    Records were parsed inside a generator, in its outer form: filters pushed down over the columns
+    stop there, so each record is parsed once.
+    """
+    values = df.select(*kept, "_at", _values(F.col("_f")).alias("_v"))
+    filled = values.filter(strip(F.concat_ws("", "_v")) != "")
+    named = [
+        F.nullif(F.get("_v", F.get("_at", i).cast("int") - 1), F.lit("")).alias(name)
+        for i, name in enumerate(columns)
+    ]
+    return filled.select(*kept, *named)
 
 
 def sheet_rows(
-    texts: DataFrame, columns: Sequence[str], title_lines: int = 1, keep: Sequence[str] = ()
+    texts: DataFrame,
+    columns: Sequence[str],
+    title_lines: int = 1,
+    keep: Sequence[str] = (),
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """Rows of sheets: title lines are skipped, the next line is the header, the rest are rows.
 
     Columns are matched by header name per file, so files may differ in their columns. The
-    result has ``file_path``, ``line_no`` (0-based line of the file), the columns ``keep`` and
+    result has ``file_path``, ``line_no`` (0-based record of the file), the columns ``keep`` and
     the named columns as text. A sheet without rows adds none. No shuffle: a file's header and
     rows are in one record until the lines are exploded.
     """
     lines = F.col("_lines")
+    head = F.get(lines, title_lines)
+    body = F.slice(lines, title_lines + 2, F.greatest(F.size(lines), F.lit(0)))
     rows = (
-        texts.select("file_path", *keep, text_lines(F.col("text")).alias("_lines"))
-        .withColumn("_at", _places(lines, title_lines, columns))
+        texts.select("file_path", *keep, records_of(F.col("text")).alias("_lines"))
+        .withColumn("_at", _places(head, columns, required, F.col("file_path")))
         .select(
             "file_path",
             *keep,
             "_at",
-            F.posexplode_outer(_records(lines, title_lines + 1)).alias("_no", "_f"),
+            F.posexplode_outer(F.transform(body, _parsed)).alias("_no", "_f"),
         )
-        .filter(_not_blank("_f"))
-    )
-    return rows.select(
-        "file_path",
-        (F.col("_no") + (title_lines + 1)).alias("line_no"),
-        *keep,
-        *_named("_f", "_at", columns),
+        .withColumn("line_no", F.col("_no") + (title_lines + 1))
     )
+    return _rows(rows, columns, ["file_path", "line_no", *keep])
 
 
 def dated_sheet_rows(
     texts: DataFrame,
     columns: Sequence[str],
     header_pattern: str,
+    section_column: str,
     section: str = "section",
     title_lines: int = 1,
     keep: Sequence[str] = (),
+    required: Sequence[str] = (),
 ) -> DataFrame:
-    """Sheet rows with the text of the section header line above them.
+    """Sheet rows with the text of the section header above them.
 
-    The text is cut in front of every line that ``header_pattern`` (a Java regular expression
-    for the header text, one group) finds, so each piece holds its header and its rows and
+    A record is a section header if ``header_pattern`` (a Java regular expression for the header
+    text, one group) finds its text in the field of ``section_column``; such text in other fields
+    means nothing. A file's records are cut at its headers while they are in one array, so
     nothing has to be carried between rows: no window, no shuffle. Rows above the first header
-    get NULL; header lines go.
+    get NULL; header records go.
     """
-    cut = f"\r?\n(?=[^\n]*(?:{header_pattern}))"
-    places = _places(text_lines(F.col("text")), title_lines, columns)
-    pieces = texts.select("file_path", *keep, "text", places.alias("_at")).select(
-        "file_path", *keep, "_at", F.posexplode_outer(F.split("text", cut)).alias("_piece", "_body")
+    place = F.get("_at", list(columns).index(section_column)).cast("int") - 1
+
+    def found(record: Column) -> Column:
+        field = F.get(_values(_parsed(record)), place)
+        text = F.nullif(F.regexp_extract(field, header_pattern, 1), F.lit(""))
+        return F.when(record.rlike(header_pattern), text)
+
+    def mark(at: Column, text: Column) -> Column:
+        return F.struct(at.cast("int").alias("at"), text.alias("text"))
+
+    head = F.get("_lines", title_lines)
+    body = F.slice("_lines", title_lines + 2, F.greatest(F.size("_lines"), F.lit(0)))
+    files = (
+        texts.select("file_path", *keep, records_of(F.col("text")).alias("_lines"))
+        .withColumn("_at", _places(head, columns, required, F.col("file_path")))
+        .withColumn("_body", body)
+    )
+    marks = F.filter(
+        F.transform("_body", lambda r, i: mark(i, found(r))), lambda m: m["text"].isNotNull()
+    )
+    nothing = F.lit(None).cast("string")
+    bounds = F.concat(
+        F.array(mark(F.lit(-1), nothing)), marks, F.array(mark(F.size("_body"), nothing))
+    )
+
+    def pieces(b: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.size(b) - 2),
+            lambda k: F.struct(
+                F.get(b, k)["text"].alias("text"),
+                F.slice(
+                    "_body", F.get(b, k)["at"] + 2, F.get(b, k + 1)["at"] - F.get(b, k)["at"] - 1
+                ).alias("records"),
+            ),
+        )
+
+    cut = files.select(
+        "file_path", *keep, "_at", F.explode_outer(bound(bounds, pieces)).alias("_piece")
     )
-    found = F.regexp_extract(F.get(text_lines(F.col("_body")), 0), header_pattern, 1)
-    # The first piece starts with title and column names, the others with their section header.
-    skip = F.when(F.col("_piece") > 0, 1).otherwise(title_lines + 1)
-    rows = pieces.select(
+    rows = cut.select(
         "file_path",
         *keep,
         "_at",
-        F.when(F.col("_piece") > 0, found).alias(section),
-        F.explode_outer(_records(text_lines(F.col("_body")), skip)).alias("_f"),
-    ).filter(_not_blank("_f"))
-    return rows.select("file_path", *keep, section, *_named("_f", "_at", columns))
+        F.col("_piece.text").alias(section),
+        F.explode_outer(F.transform("_piece.records", _parsed)).alias("_f"),
+    )
+    return _rows(rows, columns, ["file_path", *keep, section])
 
 
 def long_sheet_rows(
-    lines: DataFrame, columns: Sequence[str], title_lines: int = 1, keep: Sequence[str] = ()
+    lines: DataFrame,
+    columns: Sequence[str],
+    title_lines: int = 1,
+    keep: Sequence[str] = (),
+    required: Sequence[str] = (),
 ) -> DataFrame:
     """Sheet rows from ``read_lines``, for sheets too long for one record.
 
     The header of each file, one row per file, is joined to its lines; a file that holds most
     of the lines is a skewed join partition, which AQE splits. The result has ``file_path``,
-    ``block``, ``line_id`` (the order of the lines), ``keep`` and the named columns.
+    ``block``, ``line_id`` (the order of the lines), ``keep`` and the named columns. A record is a
+    line here: a quoted field that goes on in the next line is an error.
     """
     heads = (
         top_per_group(
@@ -237,8 +304,16 @@ def long_sheet_rows(
             F.max("line_id").alias("_head_id"),
             F.max_by("line", "line_id").alias("_head"),
         )
-        .select("file_path", "_head_id", _places(F.array("_head"), 0, columns).alias("_at"))
+        .select(
+            "file_path",
+            "_head_id",
+            _places(F.col("_head"), columns, required, F.col("file_path")).alias("_at"),
+        )
     )
+    broken = F.raise_error(
+        F.concat(F.lit("a quoted field goes on in the next line: "), F.col("file_path"))
+    ).cast("string")
+    whole = F.when(F.col("line").rlike(OPEN_QUOTE), broken).otherwise(F.col("line"))
     rows = (
         lines.join(heads, "file_path")
         .filter((F.col("block") > 0) | (F.col("line_id") > F.col("_head_id")))
@@ -247,13 +322,11 @@ def long_sheet_rows(
             "block",
             "line_id",
             *keep,
-            # One line, one record: the generator keeps the parsing from being repeated.
             "_at",
-            F.explode_outer(_records(F.array("line"))).alias("_f"),
+            F.explode_outer(F.array(_parsed(whole))).alias("_f"),
         )
-        .filter(_not_blank("_f"))
     )
-    return rows.select("file_path", "block", "line_id", *keep, *_named("_f", "_at", columns))
+    return _rows(rows, columns, ["file_path", "block", "line_id", *keep])
 
 
 # Fixed value: the directory of a market file is <name>_<code>_<type>; the name may hold '_'.

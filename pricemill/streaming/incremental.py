@@ -1,5 +1,6 @@
 """Load of new report files, one run per schedule tick, safe to repeat."""
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -9,8 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pricemill.operators.ordered import top_per_group
+from pricemill.sinks.tables import YEAR, by_year
 
-BATCH = "batch_id"
+LOAD, BATCH = "load_id", "batch_id"
 # What Spark reports for a folder that is not there or holds no files yet.
 NOTHING_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -45,10 +47,14 @@ def not_loaded(
     """Rows whose key the target lacks.
 
     When ``day`` is one of the keys, ``first`` is the first day of ``rows``: the part of the
-    target before it cannot match and is not read.
+    target before it cannot match and is not read; if the target has the partition column
+    ``year``, its folders are not listed either. Rows without a day stay in.
     """
     if day is not None and first is not None:
-        target = target.filter(F.col(day) >= first)
+        later = F.col(day) >= first
+        if YEAR in target.columns:
+            later = later & (F.col(YEAR) >= F.year(first))
+        target = target.filter(later | F.col(day).isNull() & _no_year(target))
     known = target.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
     match: Column = F.lit(True)
     for k in keys:
@@ -56,9 +62,14 @@ def not_loaded(
     return rows.join(known, match, "left_anti")
 
 
-def _loaded_before(spark: SparkSession, path: str, batch: int) -> DataFrame | None:
+def _no_year(target: DataFrame) -> Column:
+    return F.col(YEAR).isNull() if YEAR in target.columns else F.lit(True)
+
+
+def _loaded_before(spark: SparkSession, path: str, load: str, batch: int) -> DataFrame | None:
+    """All rows of the table but those of this batch of this load."""
     try:
-        return spark.read.parquet(path).filter(F.col(BATCH) < batch)
+        return spark.read.parquet(path).filter(~((F.col(LOAD) == load) & (F.col(BATCH) == batch)))
     except AnalysisException as missing:
         if missing.getCondition() in NOTHING_WRITTEN:
             return None
@@ -74,20 +85,29 @@ def append_batch(
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch``: clean, keep the newest row per key, append what is new.
 
-    ``day``, if given, is a key column without NULL that bounds the part of the table to look at.
+    ``day``, if given, is a key column that bounds the part of the table to look at; the rows of a
+    batch are then partitioned by its year.
 
-    A batch owns the folder ``batch_id=n`` and replaces it, so a batch that is run again after
-    a failure leaves the same rows.
+    A batch owns the folder ``load_id=.../batch_id=n`` and replaces it. Batch numbers start again
+    with a new checkpoint, so each call has a load id of its own. A batch that is run again, by the
+    same call or another, finds the rows it wrote before by their keys and doesn't add them twice.
     """
+    load = uuid.uuid4().hex
 
     def run(arrived: DataFrame, batch: int) -> None:
-        arrived = clean(arrived) if clean else arrived
+        arrived = (clean(arrived) if clean else arrived).persist()
         rows = newest_per_key(arrived, keys, newest)
-        before = _loaded_before(arrived.sparkSession, path, batch)
+        before = _loaded_before(arrived.sparkSession, path, load, batch)
         if before is not None:
-            first = arrived.agg(F.min(day).alias("first")).scalar() if day else None
+            found = arrived.agg(F.min(day)).first()[0] if day else None
+            first = F.lit(found).cast("date") if found is not None else None
             rows = not_loaded(rows, before, keys, day, first)
-        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch}")
+        folder = f"{path}/{LOAD}={load}/{BATCH}={batch}"
+        if day:
+            by_year(rows, day).write.mode("overwrite").partitionBy(YEAR).parquet(folder)
+        else:
+            rows.write.mode("overwrite").parquet(folder)
+        arrived.unpersist()
 
     return run
 
