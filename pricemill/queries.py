@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricemill import schemas
 from pricemill.functions import dates, numbers, text
 from pricemill.operators import filters, measures, ordered, quality, shape
-from pricemill.plans import grain, horticulture, livestock, standins
+from pricemill.plans import grain, horticulture, livestock, load, standins
 from pricemill.plans.standins import GRAIN_SQL, HORTICULTURE_SQL, LIVESTOCK_SQL, table
 from pricemill.schemas import CATTLE
 from pricemill.session import run_folder
@@ -146,16 +147,22 @@ def null_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "table_profile",
     """
-SELECT 'c_custkey' AS column_name, count(*) AS rows, count(c_custkey) AS non_null FROM customer
-UNION ALL SELECT 'c_name', count(*), count(c_name) FROM customer
-UNION ALL SELECT 'c_nationkey', count(*), count(c_nationkey) FROM customer
-UNION ALL SELECT 'c_acctbal', count(*), count(c_acctbal) FROM customer
-UNION ALL SELECT 'c_mktsegment', count(*), count(c_mktsegment) FROM customer
+SELECT column_name, lower(replace(replace(dtype, 'VARCHAR', 'string'), 'INTEGER', 'int')) AS dtype,
+       rows, non_null
+FROM (
+  SELECT 'c_custkey' AS column_name, any_value(typeof(c_custkey)) AS dtype, count(*) AS rows,
+         count(c_custkey) AS non_null FROM customer
+  UNION ALL SELECT 'c_name', any_value(typeof(c_name)), count(*), count(c_name) FROM customer
+  UNION ALL SELECT 'c_nationkey', any_value(typeof(c_nationkey)), count(*), count(c_nationkey)
+            FROM customer
+  UNION ALL SELECT 'c_acctbal', any_value(typeof(c_acctbal)), count(*), count(c_acctbal)
+            FROM customer
+  UNION ALL SELECT 'c_mktsegment', any_value(typeof(c_mktsegment)), count(*), count(c_mktsegment)
+            FROM customer)
 """,
 )
 def table_profile(spark: SparkSession, folder: str) -> DataFrame:
-    # Type names differ between engines, so the comparison leaves them out.
-    return measures.table_profile(table(spark, folder, "customer")).drop("dtype")
+    return measures.table_profile(table(spark, folder, "customer"))
 
 
 @query(
@@ -761,6 +768,12 @@ FROM orders
 """,
 )
 def grain_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    return _grain_rows(spark, folder).select(
+        "contract_type", "bid", "last", "deals", "value", "upload_date", "market_name"
+    )
+
+
+def _grain_rows(spark: SparkSession, folder: str) -> DataFrame:
     contract = F.concat(F.date_format("o_orderdate", "d MMM yy"), F.lit(" "), F.col("o_orderstatus"))
     price, day = _quoted("o_totalprice"), F.date_format("o_orderdate", "dd/MM/yyyy")
     deals = F.col("o_custkey") + 3_000_000_000  # beyond 32 bits
@@ -790,9 +803,7 @@ def grain_sheets(spark: SparkSession, folder: str) -> DataFrame:
     raw = files.sheet_rows(
         texts, grain.SHEET_COLUMNS, keep=grain.MARKET_COLUMNS, required=grain.SHEET_COLUMNS
     )
-    return grain.clean(raw).select(
-        "contract_type", "bid", "last", "deals", "value", "upload_date", "market_name"
-    )
+    return grain.clean(raw)
 
 
 @query(
@@ -808,6 +819,13 @@ FROM part CROSS JOIN range(4) r(n)
 """,
 )
 def horticulture_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    return _horticulture_rows(spark, folder).select(
+        "product", "product_code", "variety", "unit_kg", "average_price", "total_sales", "date",
+        "market_name",
+    )
+
+
+def _horticulture_rows(spark: SparkSession, folder: str) -> DataFrame:
     product = F.concat(F.col("p_partkey"), F.lit(". "), F.col("p_name"))
     unit = F.concat(F.col("p_size").cast("string"), F.lit(" kg"))
 
@@ -849,10 +867,7 @@ def horticulture_sheets(spark: SparkSession, folder: str) -> DataFrame:
         section="Date",
         keep=("market_name", "market_code", "market_type"),
     )
-    return horticulture.clean(raw).select(
-        "product", "product_code", "variety", "unit_kg", "average_price", "total_sales", "date",
-        "market_name",
-    )
+    return horticulture.clean(raw)
 
 
 def _reports(spark: SparkSession, folder: str) -> DataFrame:
@@ -888,7 +903,7 @@ def _reports(spark: SparkSession, folder: str) -> DataFrame:
     "livestock_cattle_reports",
     """
 SELECT 'K' || CAST(i AS VARCHAR) AS class,
-       CAST(CASE WHEN i = 1 THEN c_custkey ELSE c_custkey + i END AS INTEGER) AS units,
+       CASE WHEN i = 1 THEN c_custkey ELSE c_custkey + i END AS units,
        c_acctbal AS avg_mass, c_acctbal AS selling_min,
        CASE WHEN i = 1 THEN 0.0 ELSE c_acctbal END AS selling_max, i = 1 AS was_null,
        DATE '2023-05-01' AS date_from, DATE '2023-05-07' AS date_to
@@ -904,7 +919,7 @@ def livestock_cattle_reports(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "livestock_sheep_reports",
     """
-SELECT 'K' || CAST(i AS VARCHAR) AS class, CAST(c_custkey + i AS INTEGER) AS units,
+SELECT 'K' || CAST(i AS VARCHAR) AS class, c_custkey + i AS units,
        c_acctbal AS avg_purch, DATE '2023-05-01' AS date_from
 FROM customer CROSS JOIN range(11, 24) r(i)
 """,
@@ -918,7 +933,7 @@ def livestock_sheep_reports(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "livestock_pork_reports",
     """
-SELECT 'K' || CAST(i AS VARCHAR) AS class, CAST(c_custkey + i AS INTEGER) AS units,
+SELECT 'K' || CAST(i AS VARCHAR) AS class, c_custkey + i AS units,
        c_acctbal AS purch_max, DATE '2023-05-07' AS date_to,
        list_extract(['20-55.99kg', '56-64.99kg', '65-79.99kg', '80-99.99kg'], (i - 26) // 6 + 1)
          AS weight
@@ -1309,6 +1324,129 @@ def rows_per_file(spark: SparkSession, folder: str) -> DataFrame:
     return files.file_name(counted).select("file_name", "rows")
 
 
+# --- load jobs: reports to the family's table ---------------------------------------------
+
+
+@query("load_grain", SQL["grain_sheets"])
+def load_grain(spark: SparkSession, folder: str) -> DataFrame:
+    """Two loads that overlap."""
+    rows, path = _grain_rows(spark, folder), run_folder(spark, "load")
+    load.load(rows.filter(F.col("value") % 2 == 0), schemas.GRAIN, path)
+    load.load(rows, schemas.GRAIN, path)
+    return load.read(spark, path).select(
+        "contract_type", "bid", "last", "deals", "value", "upload_date", "market_name"
+    )
+
+
+@query(
+    "load_horticulture",
+    f"SELECT DISTINCT * FROM ({SQL['horticulture_sheets']}) WHERE date IS NOT NULL",
+)
+def load_horticulture(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows above the first section have no date, and rows that repeat are one."""
+    rows, path = _horticulture_rows(spark, folder), run_folder(spark, "load")
+    load.load(rows.filter(F.col("product_code") % 2 == 0), schemas.HORTICULTURE, path)
+    load.load(rows, schemas.HORTICULTURE, path)
+    return load.read(spark, path).select(
+        "product", "product_code", "variety", "unit_kg", "average_price", "total_sales", "date",
+        "market_name",
+    )
+
+
+@query(
+    "load_livestock",
+    f"""
+SELECT * FROM ({SQL['livestock_cattle_reports']})
+QUALIFY row_number() OVER (PARTITION BY class, date_from ORDER BY units DESC) = 1
+""",
+)
+def load_livestock(spark: SparkSession, folder: str) -> DataFrame:
+    """The report with most units wins; the flag of missing measures is kept."""
+    rows, path = livestock.cattle(_reports(spark, folder)), run_folder(spark, "load")
+    for _ in range(2):
+        load.load(rows, CATTLE, path, winner=[F.desc("units")])
+    return load.read(spark, path).select(
+        "class", "units", "avg_mass", "selling_min", "selling_max", "was_null", "date_from", "date_to"
+    )
+
+
+# --- files and page markup ----------------------------------------------------------------
+
+
+@query(
+    "listed_files",
+    """
+SELECT c_mktsegment || '.csv' AS file_name, count(*) AS rows FROM customer
+WHERE c_mktsegment <> (SELECT min(c_mktsegment) FROM customer) GROUP BY 1
+""",
+)
+def listed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Sheets by suffix, without one by its name, and without empty ones."""
+    path = run_folder(spark, "files")
+    rows = table(spark, folder, "customer").select("c_mktsegment", "c_custkey", "c_name")
+    wide = rows.select(F.concat_ws(",", "c_custkey", "c_name").alias("value"), "c_mktsegment")
+    # A sheet per task and segment: Spark names its own files, so a folder's name stands for them.
+    sheets = wide.withColumn("part", F.spark_partition_id()).groupBy("c_mktsegment", "part")
+    body = F.array_join(F.sort_array(F.collect_list("value")), "\n")
+    sheet = F.concat_ws("\n", F.lit("title"), F.lit("id,name"), body).alias("value")
+    sheets.agg(sheet).select("value", "c_mktsegment", "part").write.partitionBy("c_mktsegment", "part").text(
+        f"{path}/in"
+    )
+    texts = files.read_whole_texts(spark, f"{path}/in", suffix=".txt")
+    named = texts.withColumn(
+        "file_path",
+        F.concat(F.regexp_extract(files.plain_path("file_path"), "c_mktsegment=([^/]*)/", 1), F.lit(".csv")),
+    )
+    first = rows.agg(F.min("c_mktsegment")).first()[0]
+    kept = files.without_files(named, [f"{first}.csv"])
+    empty = kept.select("file_path", F.lit("title\nid,name\n").alias("text")).withColumn(
+        "file_path", F.lit("empty.csv")
+    )
+    found = files.sheet_rows(kept.union(empty), ["id", "name"], required=["id"])
+    return quality.rows_per_file(found).withColumnRenamed("file_path", "file_name")
+
+
+def _markup(spark: SparkSession, folder: str) -> DataFrame:
+    """A small page for each supplier: an information table and a select box."""
+    name, balance = F.col("s_name"), F.col("s_acctbal").cast("string")
+    page = F.concat(
+        F.lit("<table><TR class=x><td>Name</td><td> <b>"), name,
+        F.lit("</b> </td></TR>\n<tr><td>Balance</td><td>"), balance,
+        F.lit("</td></tr></table><select><option>choose</option><option value='1'> "), name,
+        F.lit(" </option><OPTION>other</OPTION></select>"),
+    )
+    return table(spark, folder, "supplier").select(F.col("s_suppkey").alias("page_id"), page.alias("html"))
+
+
+@query(
+    "page_table_cells",
+    """
+SELECT s_suppkey AS page_id, s_name AS name, s_acctbal AS balance, CAST(NULL AS VARCHAR) AS none
+FROM supplier
+""",
+)
+def page_table_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.page_fields(
+        _markup(spark, folder),
+        {
+            "name": text.table_cell("html", 1, 2),
+            "balance": text.table_cell("html", 2, 2).cast("double"),
+            "none": text.table_cell("html", 3, 1),
+        },
+    )
+
+
+@query(
+    "page_options",
+    """
+SELECT s_suppkey AS page_id, 1 AS pos, s_name AS option FROM supplier
+UNION ALL SELECT s_suppkey, 2, 'other' FROM supplier
+""",
+)
+def page_options(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.select_options(_markup(spark, folder), skip=1)
+
+
 # --- sinks and the incremental load -------------------------------------------------------
 
 

@@ -24,6 +24,14 @@ class PriceTable:
     date: str
     keys: tuple[str, ...] = ()
     max_length: dict[str, int] = field(default_factory=dict)
+    #: A column beside the contract's: whether a measure was missing and has become 0.
+    flag: str | None = None
+
+    @property
+    def stored(self) -> T.StructType:
+        """The columns as they are written, the flag included."""
+        extra = [T.StructField(self.flag, T.BooleanType())] if self.flag else []
+        return T.StructType([*self.columns.fields, *extra])
 
     @property
     def required(self) -> list[str]:
@@ -97,6 +105,7 @@ CATTLE = PriceTable(
     date="date_to",
     keys=("class", "date_from"),
     max_length={"class": 30},
+    flag="was_null",
 )
 
 SHEEP = PriceTable(
@@ -105,6 +114,7 @@ SHEEP = PriceTable(
     date="date_to",
     keys=("class", "date_from"),
     max_length={"class": 30},
+    flag="was_null",
 )
 
 PORK = PriceTable(
@@ -123,6 +133,7 @@ PORK = PriceTable(
     date="date_to",
     keys=("class", "date_from", "weight"),
     max_length={"class": 30},
+    flag="was_null",
 )
 
 TABLES = {t.name: t for t in (GRAIN, HORTICULTURE, CATTLE, SHEEP, PORK)}

@@ -38,7 +38,7 @@ def create_table(spark: SparkSession, table: PriceTable, location: str | None =
 
     Spark keeps no key and length rules for it: ``operators.quality`` checks those on load.
     """
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.columns)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.stored)
     place = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table.name} ({columns}, {YEAR} int) "
@@ -48,9 +48,10 @@ def create_table(spark: SparkSession, table: PriceTable, location: str | None =
 
 def load_table(df: DataFrame, table: PriceTable, mode: str = "append") -> None:
     """Append to, or overwrite, a price table of the catalog. The name comes with the schema, so
-    a family cannot land in the table of another."""
-    columns = table.columns.fieldNames()
-    typed = df.select(*[F.col(f.name).cast(f.dataType) for f in table.columns])
+    a family cannot land in the table of another. A frame without the flag column gives NULLs."""
+    columns = table.stored.fieldNames()
+    given = {f.name: F.col(f.name) if f.name in df.columns else F.lit(None) for f in table.stored}
+    typed = df.select(*[given[f.name].cast(f.dataType).alias(f.name) for f in table.stored])
     rows = by_year(typed, table.date).select(*columns, YEAR)
     rows.write.insertInto(table.name, overwrite=mode == "overwrite")
 
