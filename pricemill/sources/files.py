@@ -155,7 +155,7 @@ def _places(
         return F.when(lacking, F.raise_error(text).cast("array<bigint>")).otherwise(found)
 
     found = bound(
-        F.transform(_values(_parsed(header)), _column_name),
+        F.transform(bound(_parsed(header), _values), _column_name),
         lambda own: F.transform(wanted, lambda n: F.coalesce(F.array_position(own, n), F.lit(0))),
     )
     fields = F.regexp_count(header, F.lit(f"{FIELD}(?:,|$)"))
@@ -232,7 +232,7 @@ def dated_sheet_rows(
     place = F.get("_at", list(columns).index(section_column)).cast("int") - 1
 
     def found(record: Column) -> Column:
-        field = F.get(_values(_parsed(record)), place)
+        field = F.get(bound(_parsed(record), _values), place)
         text = F.nullif(F.regexp_extract(field, header_pattern, 1), F.lit(""))
         return F.when(record.rlike(header_pattern), text)
 
