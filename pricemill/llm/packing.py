@@ -1,22 +1,26 @@
 """Packing of tokenized documents into sequences of a fixed length."""
 
+import os
 import re
-from collections.abc import Callable, Iterator
+import struct
+from collections.abc import Iterator
 from math import ceil
 
-import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricemill.llm.common import pick, shuffle_partitions, stored
+from pricemill.llm.common import BLANK, LETTERS, PLAIN, byte_characters, pick, shuffle_partitions, stored
 
 #: Pieces of one length that are numbered in one group, about.
 GROUP_ROWS = 100_000
-#: Texts between blanks whose ids a task remembers at most.
-REMEMBERED = 400_000
-#: A blank, or the end, after a space.
-BLANK_AFTER_SPACE = re.compile(r" (?:\s|$)")
+#: Words whose ids a task remembers at most.
+REMEMBERED = 300_000
+#: How the file's pre-tokenizer cuts plain texts: a space goes with the word after it.
+WORDS = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z{LETTERS}]+| ?[0-9]+| ?[^{BLANK}A-Za-z0-9{LETTERS}]+"
+    f"|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+"
+)
 
 
 # --- tokens -------------------------------------------------------------------------------
@@ -25,8 +29,9 @@ BLANK_AFTER_SPACE = re.compile(r" (?:\s|$)")
 class Encoder:
     """The ids of texts, as little-endian unsigned 32-bit numbers, by a byte-level BPE file.
 
-    Such a tokenizer splits a text before each space that a non-blank follows, whatever stands
-    around it. So texts are cut there, and each distinct part goes through the library once.
+    Plain texts are cut into words by a pattern that does what the file's pre-tokenizer does with
+    them, and each distinct word goes through the library's model once. Others, and texts with
+    special tokens, go through the library whole.
     """
 
     def __init__(self, path: str) -> None:
@@ -35,47 +40,25 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.characters = dict(enumerate(byte_characters()))
         self.known: dict[str, bytes] = {}
 
-    def library(self, texts: list[str]) -> list[bytes]:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.array([i for ids in found for i in ids], "<u4").tobytes()
-        ends = np.cumsum([4 * len(ids) for ids in found]).tolist()
-        return [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        parted = [self._cut(text) for text in texts]
-        known = self._ids(set().union(*parted))
-        return [
-            b"".join(map(known, parts)) if parts else self.library([text])[0]
-            for text, parts in zip(texts, parted, strict=True)
-        ]
-
-    def _cut(self, text: str) -> list[str]:
-        """The parts of a text; none if it holds a special token, which the library must see."""
-        if any(token in text for token in self.special):
-            return []
-        if "\0" not in text and not BLANK_AFTER_SPACE.search(text):
-            return text.replace(" ", "\0 ").split("\0")
-        first, *rest = text.split(" ")
-        parts = [first]
-        for part in rest:
-            if part and not part[0].isspace():
-                parts.append(" " + part)
-            else:  # blanks in a row stay with what they follow
-                parts[-1] += " " + part
-        return parts
-
-    def _ids(self, parts: set[str]) -> Callable[[str], bytes]:
+    def encode(self, text: str) -> bytes:
+        if not PLAIN.fullmatch(text) or any(token in text for token in self.special):
+            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        words = WORDS.findall(text)
         if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = list(parts.difference(self.known))
-        for k in range(0, len(new), 10_000):
-            some = new[k : k + 10_000]
-            self.known.update(zip(some, self.library(some), strict=True))
-        return self.known.__getitem__
+            self.known.clear()
+        for word in set(words).difference(self.known):
+            octets = word.encode().decode("latin-1").translate(self.characters)
+            self.known[word] = _packed([token.id for token in self.model.tokenize(octets)])
+        return b"".join(map(self.known.__getitem__, words))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def pieces(
@@ -95,23 +78,30 @@ def pieces(
     rows = pick(df, id=id_column, text=text_column)
     end = end_id.to_bytes(4, "little")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
         encoder = Encoder(tokenizer)
         for batch in batches:
-            for k in range(0, len(batch), 500):
-                some = batch.iloc[k : k + 500]
-                texts = [t if isinstance(t, str) else "" for t in some["text"]]
-                found = []
-                for key, ids in zip(some["id"], encoder.encode(texts), strict=True):
-                    ids += end
+            for k in range(0, len(batch), 200):
+                some = batch.slice(k, 200)
+                found, rows = [], []
+                for row, text in enumerate(some["text"].to_pylist()):
+                    ids = encoder.encode(text or "") + end
                     n = len(ids) // 4
                     cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
                     for piece, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                        found.append((key, piece, a, b - a, ids[4 * a : 4 * b]))
-                yield pd.DataFrame(found, columns=["id", "piece", "start", "length", "ids"])
+                        rows.append(row)
+                        found.append((piece, a, b - a, ids[4 * a : 4 * b]))
+                columns = zip(*found, strict=True)
+                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
+                arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [some["id"].take(pa.array(rows)), *arrays],
+                    ["id", "piece", "start", "length", "ids"],
+                )
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"id {kind}, piece int, start bigint, length bigint, ids binary")
+    return rows.mapInArrow(run, f"id {kind}, piece int, start bigint, length bigint, ids binary")
 
 
 # --- the plan -----------------------------------------------------------------------------
