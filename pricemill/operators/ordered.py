@@ -12,9 +12,10 @@ How the cuts are found, all lazily and from the data alone:
    ``rows_per_span`` rows or 1/50,000 of the frame, whichever is more. So hot groups and their
    spans number at most 100,000 between them, however large the frame is. This is the size
    bound behind the broadcasts below.
-2. In hot groups the order values of a hash-picked share of the rows are sorted, and every k-th
-   of them is a cut. The pick depends on the values only, so every reader of the cuts and every
-   retry after a lost executor sees the same ones.
+2. In hot groups the order values of a hash-picked share of the rows are counted and sorted, and
+   one is a cut wherever the count passes a multiple of k. The pick depends on the rows' values
+   only, so every reader of the cuts and every retry after a lost executor sees the same ones, and
+   values that many rows share are picked as often as they occur.
 3. A row's span is the number of cuts at or before it, by binary search over the first order
    column, which is a plain number or date. Only where more than a span's worth of rows shares
    one value of it are all order columns compared.
@@ -79,18 +80,30 @@ def _cuts(
         .withColumn("_every", F.ceil(F.col("_span_rows") / MARKS_PER_SPAN))
         .drop("_rows")
     )
+    # Copies of a picked order value are counted before anything is collected; marks of all hot
+    # groups together stay below MARKS_PER_SPAN for each of the bounded number of spans.
+    hashed = [F.col(f.name) for f in df.schema.fields if f.dataType.typeName() != "map"]
+    picked = _same_group(
+        df.select(*group, _mark(order).alias("_mark"), F.xxhash64(*hashed).alias("_hash")),
+        hot,
+        group,
+        "inner",
+    ).filter(F.pmod("_hash", F.col("_every")) == 0)
+    so_far = F.sum("_n").over(Window.partitionBy(*group).orderBy("_mark"))
     marks = (
-        _same_group(df.select(*group, _mark(order).alias("_mark")), hot, group, "inner")
-        .filter(F.pmod(F.xxhash64("_mark"), F.col("_every")) == 0)
-        .groupBy(*group)
+        picked.groupBy(*group, "_mark")
         .agg(
-            F.sort_array(F.collect_list("_mark")).alias("_marks"),
+            F.count(F.lit(1)).alias("_n"),
             F.max(F.ceil(F.col("_span_rows") / F.col("_every"))).alias("_step"),
         )
+        .withColumn("_to", so_far)
+        .filter(F.floor(F.col("_to") / F.col("_step")) > F.floor((F.col("_to") - F.col("_n")) / F.col("_step")))
+    )
+    cuts = (
+        marks.groupBy(*group)
+        .agg(F.sort_array(F.collect_list("_mark")).alias("_full"))
+        .withColumn("_firsts", F.transform("_full", lambda c: c[order[0]]))
     )
-    cuts = marks.select(
-        *group, F.filter("_marks", lambda _, i: (i + 1) % F.col("_step") == 0).alias("_full")
-    ).withColumn("_firsts", F.transform("_full", lambda c: c[order[0]]))
     tied = F.size(F.array_distinct("_firsts")) < F.size("_firsts")
     steps = F.array(*[F.lit(n) for n in SEARCH_STEPS])
     return cuts.select(
@@ -249,16 +262,35 @@ LIMIT_BEFORE_SHUFFLE = 1000
 
 
 def _leading(
-    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int, name: str
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str | Column],
+    n: int,
+    name: str,
+    descending: bool = False,
 ) -> DataFrame:
-    """First n rows of each group with their number.
+    """First n rows of each group with their number; ``descending`` turns all named columns.
 
     A small limit is applied before the shuffle (WindowGroupLimit), so a hot group stays small.
-    For a larger one in ascending order hot groups are cut in spans.
+    For a larger one over named columns hot groups are cut in spans; rows are then numbered in
+    ascending order, and from the group's size for the descending one.
     """
     if n > LIMIT_BEFORE_SHUFFLE and all(isinstance(c, str) for c in order):
         numbered = number_rows(df, group, order, name)
+        if descending:
+            sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+            sizes = sizes.withColumnsRenamed({k: f"_side_{k}" for k in group})
+            match = functools.reduce(
+                operator.and_, [numbered[k].eqNullSafe(sizes[f"_side_{k}"]) for k in group]
+            )
+            numbered = (
+                numbered.join(sizes, match)
+                .withColumn(name, F.col("_size") + 1 - F.col(name))
+                .drop("_size", *[f"_side_{k}" for k in group])
+            )
     else:
+        if descending:
+            order = [F.desc(c) if isinstance(c, str) else c for c in order]
         row = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
         numbered = df.withColumn(name, row)
     return numbered.filter(F.col(name) <= n)
@@ -281,10 +313,14 @@ def label_blocks(
 
 
 def top_per_group(
-    df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int = 1
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str | Column],
+    n: int = 1,
+    descending: bool = False,
 ) -> DataFrame:
-    """First n rows of each group in the stated order."""
-    return _leading(df, group, order, n, "_row").drop("_row")
+    """First n rows of each group in the stated order, or the last with ``descending``."""
+    return _leading(df, group, order, n, "_row", descending).drop("_row")
 
 
 def spread_first(

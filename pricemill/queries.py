@@ -504,6 +504,7 @@ def section_fill_forward(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_type") == "signup",
         "event_id",
         "section",
+        rows_per_span=20,  # users with more rows are cut, as hot ones are
     ).select("event_id", "user_id", "section")
 
 
@@ -522,6 +523,7 @@ def drop_repeats(spark: SparkSession, folder: str) -> DataFrame:
         ["user_id"],
         ["ts", "event_id"],
         "event_type",
+        rows_per_span=20,
     ).select("event_id", "user_id", "event_type")
 
 
@@ -531,7 +533,8 @@ def drop_repeats(spark: SparkSession, folder: str) -> DataFrame:
 )
 def number_rows(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events").select("event_id", "ts")
-    return ordered.number_rows(events, [], ["ts", "event_id"]).select("event_id", "row_no")
+    numbered = ordered.number_rows(events, [], ["ts", "event_id"], rows_per_span=1000)
+    return numbered.select("event_id", "row_no")
 
 
 @query(
@@ -570,6 +573,23 @@ def top_per_group(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "last_per_group",
+    """
+SELECT o_orderpriority, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderpriority
+                               ORDER BY o_totalprice DESC, o_orderkey DESC) AS rn FROM orders)
+WHERE rn <= 1500
+""",
+)
+def last_per_group(spark: SparkSession, folder: str) -> DataFrame:
+    """More rows than Spark limits before a shuffle, from the end of the order."""
+    orders = table(spark, folder, "orders").select("o_orderpriority", "o_orderkey", "o_totalprice")
+    return ordered.top_per_group(
+        orders, ["o_orderpriority"], ["o_totalprice", "o_orderkey"], 1500, descending=True
+    )
+
+
 @query(
     "report_header_spread",
     """

@@ -308,3 +308,19 @@ def test_losses_as_aggregate_and_as_observation(rows):
     watched, seen = quality.observe_losses(df, rules)
     watched.collect()
     assert seen.get == {"rows": 3, "missing": 1, "zero": 2}
+
+
+def test_spans_cut_groups_with_few_order_values(spark):
+    df = spark.range(20_000).selectExpr("0 AS g", "id % 40 AS day", "id AS v")
+    spans = ordered.with_spans(df, ["g"], ["day"], 1000)
+    sizes = [r["count"] for r in spans.groupBy("_span").count().collect()]
+    assert len(sizes) > 5 and sum(sizes) == 20_000
+    one = ordered.with_spans(df.withColumn("day", F.lit(1)), ["g"], ["day"], 1000)
+    assert one.filter("_hot").count() in (0, 20_000)  # one value can't be cut
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_last_rows_of_groups(spark, n):
+    df = spark.range(4000).selectExpr("nullif(id % 2, 1) AS g", "id AS v")
+    found = ordered.top_per_group(df, ["g"], ["v"], n, descending=True).collect()
+    assert sorted(r.v for r in found) == list(range(4000 - 2 * n, 4000))
