@@ -26,7 +26,7 @@ UPDATES, BATCH, RATE = 900, 66, 0.01
 #: Documents of the sample that a word, or a start of so many letters, must be in to count.
 SHARED_BY = 3
 STEM = 4
-#: Telling words that are added to each batch.
+#: Telling words that are added to each batch, and half the number of clean documents' words.
 HINTS = 100
 #: Share of words taken as unknown in training, and the updates before which windows are relabelled.
 FORGOTTEN = 0.3
@@ -250,7 +250,7 @@ def gradients(net: Network, words: list[str], known, telling, places, sizes, lab
     d["attention_bias"] = d_hidden.sum(axis=(0, 1))
     d_states = d_states + (_flat(d_hidden) @ net.attention.T).reshape(d_states.shape)
     hinted = _sigmoid(features @ net.hint + net.hint_bias)
-    weight = np.where(telling > 0.5, 1.0, 0.1)
+    weight = np.where(telling > 0.5, 1.0, 0.3)
     d_hint = ((hinted - telling) * weight / weight.sum()).astype(np.float32)
     d["hint"] = features.T @ d_hint
     d["hint_bias"] = d_hint.sum(keepdims=True)
@@ -345,14 +345,14 @@ def train(windows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network |
         return most
 
     evidence = sorted(w for w in n_toxic if w[0] != "^" and telling(w) > 0.5)
-    others = [word for _, label, words in windows if not label for word in words]
+    others = np.array([word for _, label, words in windows if not label for word in words])
 
     def words_of(k: int) -> list[str]:
         words = windows[k][2]
         if labels[k]:
             swaps = random.integers(len(others), size=len(words))
             words = [
-                w if n_toxic[w] >= SHARED_BY or telling(w) > 0.3 else others[s]
+                w if n_toxic[w] >= SHARED_BY or telling(w) > 0.3 else str(others[s])
                 for w, s in zip(words, swaps, strict=True)
             ]
         return words
@@ -373,6 +373,7 @@ def train(windows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network |
         words, places, sizes = _places([words_of(k) for k in chosen])
         if evidence:
             words += random.choice(evidence, HINTS).tolist()
+        words += random.choice(others, 2 * HINTS).tolist()
         known = net.numbers(words)
         known[random.random(len(known)) < FORGOTTEN] = 0
         said = np.array([telling(w) for w in words], np.float32)
