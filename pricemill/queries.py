@@ -1583,6 +1583,62 @@ def stream_load(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{path}/rows").select("user_id", "event_type", "event_id")
 
 
+@query(
+    "stream_sheets",
+    """
+SELECT strftime(o_orderdate, '%-d %b %y ') || o_orderstatus AS contract_type,
+       o_totalprice AS last, o_orderkey AS value, CAST(o_orderdate AS DATE) AS upload_date,
+       o_orderpriority AS market_name
+FROM orders
+""",
+)
+def stream_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """Sheet files through the family's clean-up, in overlapping loads with two checkpoints."""
+    contract = F.concat(F.date_format("o_orderdate", "d MMM yy"), F.lit(" "), F.col("o_orderstatus"))
+    price, day = _quoted("o_totalprice"), F.date_format("o_orderdate", "dd/MM/yyyy")
+    ones = ["1"] * 4
+    line = _csv(contract, *ones, "1", price, *ones, F.col("o_orderkey"), day)
+    rows = table(spark, folder, "orders").select(
+        line.alias("line"), "o_orderkey", "o_orderpriority", F.spark_partition_id().alias("part")
+    )
+    path = run_folder(spark, "sheets")
+
+    def arrive(some: DataFrame, name: str) -> None:
+        head = [F.lit("title"), F.lit(",".join(grain.SHEET_COLUMNS))]
+        body = F.array_join(F.collect_list("line"), "\n")
+        sheets = some.groupBy("o_orderpriority", "part").agg(
+            F.concat_ws("\n", *head, body).alias("value")
+        )
+        sheets.drop("part").write.partitionBy("o_orderpriority").text(f"{path}/in/{name}")
+
+    def clean(texts: DataFrame) -> DataFrame:
+        market = F.regexp_extract(files.plain_path("file_path"), "o_orderpriority=([^/]*)/", 1)
+        named = texts.withColumns(
+            {"market_name": market, "market_code": F.lit("m"), "market_type": F.lit("t")}
+        )
+        sheets = files.sheet_rows(
+            named, grain.SHEET_COLUMNS, keep=grain.MARKET_COLUMNS, required=grain.SHEET_COLUMNS
+        )
+        return grain.clean(sheets)
+
+    arrive(rows.filter(F.col("o_orderkey") % 2 == 0), "first")
+    for n, batch in enumerate(("first", "second", "third")):
+        if batch == "second":
+            arrive(rows, "second")
+        incremental.load_new_files(
+            incremental.new_texts(spark, f"{path}/in/*/*"),
+            f"{path}/rows",
+            f"{path}/checkpoint{n // 2}",
+            ["value", "upload_date"],
+            ["last"],
+            clean,
+            day="upload_date",
+        ).awaitTermination()
+    return spark.read.parquet(f"{path}/rows").select(
+        "contract_type", "last", "value", "upload_date", "market_name"
+    )
+
+
 # --- the questions of the dashboards ------------------------------------------------------
 
 MARKET, GRAIN, AS_OF, UPLOAD = "F 3", "A", "2001-08-15", "2001-03-01"

@@ -131,6 +131,11 @@ def _values(parsed: Column) -> Column:
     return F.array(*[parsed[f"c{i}"] for i in range(WIDTH)])
 
 
+def _fields(record: Column) -> Column:
+    """Fields of a record as an array."""
+    return bound(_parsed(record), _values)
+
+
 def _column_name(header: Column) -> Column:
     """``snake_name`` of a header field."""
     return F.lower(F.regexp_replace(strip(header), r"(?U)\s+", "_"))
@@ -155,7 +160,7 @@ def _places(
         return F.when(lacking, F.raise_error(text).cast("array<bigint>")).otherwise(found)
 
     found = bound(
-        F.transform(bound(_parsed(header), _values), _column_name),
+        F.transform(_fields(header), _column_name),
         lambda own: F.transform(wanted, lambda n: F.coalesce(F.array_position(own, n), F.lit(0))),
     )
     fields = F.regexp_count(header, F.lit(f"{FIELD}(?:,|$)"))
@@ -166,13 +171,12 @@ def _places(
 
 
 def _rows(df: DataFrame, columns: Sequence[str], kept: Sequence[str]) -> DataFrame:
-    """Named columns of parsed records ``_f``, with positions ``_at``; blank records go.
+    """Named columns of records ``_v``, arrays of fields, with positions ``_at``; blank records go.
 
     Records were parsed inside a generator, in its outer form: filters pushed down over the columns
     stop there, so each record is parsed once.
     """
-    values = df.select(*kept, "_at", _values(F.col("_f")).alias("_v"))
-    filled = values.filter(strip(F.concat_ws("", "_v")) != "")
+    filled = df.filter(strip(F.concat_ws("", "_v")) != "")
     named = [
         F.nullif(F.get("_v", F.get("_at", i).cast("int") - 1), F.lit("")).alias(name)
         for i, name in enumerate(columns)
@@ -204,7 +208,7 @@ def sheet_rows(
             "file_path",
             *keep,
             "_at",
-            F.posexplode_outer(F.transform(body, _parsed)).alias("_no", "_f"),
+            F.posexplode_outer(F.transform(body, _fields)).alias("_no", "_v"),
         )
         .withColumn("line_no", F.col("_no") + (title_lines + 1))
     )
@@ -232,7 +236,7 @@ def dated_sheet_rows(
     place = F.get("_at", list(columns).index(section_column)).cast("int") - 1
 
     def found(record: Column) -> Column:
-        field = F.get(bound(_parsed(record), _values), place)
+        field = F.get(_fields(record), place)
         text = F.nullif(F.regexp_extract(field, header_pattern, 1), F.lit(""))
         return F.when(record.rlike(header_pattern), text)
 
@@ -273,7 +277,7 @@ def dated_sheet_rows(
         *keep,
         "_at",
         F.col("_piece.text").alias(section),
-        F.explode_outer(F.transform("_piece.records", _parsed)).alias("_f"),
+        F.explode_outer(F.transform("_piece.records", _fields)).alias("_v"),
     )
     return _rows(rows, columns, ["file_path", *keep, section])
 
@@ -323,7 +327,7 @@ def long_sheet_rows(
             "line_id",
             *keep,
             "_at",
-            F.explode_outer(F.array(_parsed(whole))).alias("_f"),
+            F.explode_outer(F.array(_fields(whole))).alias("_v"),
         )
     )
     return _rows(rows, columns, ["file_path", "block", "line_id", *keep])

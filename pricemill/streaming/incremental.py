@@ -20,7 +20,7 @@ NOTHING_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 def new_files(
     spark: SparkSession,
     folder: str,
-    schema: T.StructType,
+    schema: T.StructType | str,
     kind: str = "parquet",
     archive: str | None = None,
     **options: str,
@@ -32,6 +32,14 @@ def new_files(
     return reader.load(folder)
 
 
+def new_texts(spark: SparkSession, folder: str, archive: str | None = None) -> DataFrame:
+    """Stream of arriving report files as ``read_whole_texts`` gives them: file_path and text."""
+    texts = new_files(spark, folder, "value string", "text", archive, wholetext="true")
+    return texts.select(
+        F.col("_metadata.file_path").alias("file_path"), F.col("value").alias("text")
+    )
+
+
 def newest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[str]) -> DataFrame:
     """The newest row of each key; ``newest`` should tell all rows of a key apart."""
     return top_per_group(df, keys, [F.desc(c) for c in newest], 1)
