@@ -14,8 +14,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def counted(docs: DataFrame) -> DataFrame:
     """The documents with ``n_chars`` of the text as it is now."""
-    n_chars = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
-    return docs.withColumn("n_chars", n_chars)
+    names = docs.columns  # others may differ from these in case alone
+    text, n_chars = f"_{names.index('text')}", f"_{names.index('n_chars')}"
+    plain = docs.toDF(*(f"_{k}" for k in range(len(names))))
+    now = F.coalesce(F.length(text).cast(plain.schema[n_chars].dataType), F.col(n_chars))
+    return plain.withColumn(n_chars, now).toDF(*names)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

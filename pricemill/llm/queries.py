@@ -54,7 +54,53 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op3_quality_rules")
+#: White space that separates words, for DuckDB.
+_SPLIT = r"[\x20\x09-\x0D]+"
+
+
+@query(
+    "op3_quality_rules",
+    rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, text AS raw, coalesce(text, '') AS text,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPLIT}'), lambda w: w <> '') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_replace(x, '{_SPLIT}', '', 'g') <> '') AS ls
+  FROM documents
+), w AS (
+  SELECT r, s, list_slice(ws, s, s + 7) AS win FROM (SELECT r, ws, unnest(range(1, len(ws) - 6)) AS s FROM d)
+), c AS (
+  SELECT r, s, count(*) OVER (PARTITION BY r, win) AS n FROM w
+), rep AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(s, s + 8)) AS p FROM c WHERE n > 1)
+  GROUP BY r
+), l AS (
+  SELECT r, source, raw, lower(regexp_replace(trim(regexp_replace(u, '{_SPLIT}', ' ', 'g')), ' +', ' ', 'g'))
+           AS line, len(list_filter(regexp_split_to_array(u, '{_SPLIT}'), lambda w: w <> '')) AS n
+  FROM (SELECT r, source, raw, unnest(ls) AS u FROM d)
+), h AS (
+  SELECT coalesce(source, chr(0)) AS host, count(DISTINCT coalesce('x' || raw, '')) AS n FROM d
+  GROUP BY 1
+), f AS (
+  SELECT t.host, line FROM (
+    SELECT coalesce(source, chr(0)) AS host, line, count(DISTINCT raw) AS n FROM l GROUP BY 1, 2) t
+  JOIN h ON h.host = t.host WHERE t.n >= 20 AND t.n >= 0.1 * h.n
+), sh AS (
+  SELECT r, sum(n) AS n FROM l JOIN f ON f.host = coalesce(l.source, chr(0)) AND f.line = l.line
+  GROUP BY r
+), m AS (
+  SELECT doc_id, len(ws) AS n_words, length(regexp_replace(text, '{_SPLIT}', '', 'g')) AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+         coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(sh.n, 0)::BIGINT AS n_shared_words
+  FROM d LEFT JOIN rep USING (r) LEFT JOIN sh USING (r)
+)
+SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT (n_shared_words > 0 AND
+         (n_words - n_shared_words < 20 OR n_words - n_shared_words < 0.3 * n_words)) AS kept
+FROM m
+""",
+)
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality(documents(spark, sf_dir))
     return found.withColumnRenamed("id", "doc_id")
@@ -154,7 +200,31 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op9_repeated_passages")
+@query(
+    "op9_repeated_passages",
+    rf"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPLIT}'), lambda w: w <> '')
+           AS ws
+  FROM documents
+), w AS (
+  SELECT doc_id, s, array_to_string(list_slice(ws, s, s + 19), ' ') AS win
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM d)
+), g AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY win ORDER BY doc_id, s) AS n FROM w)
+  WHERE n > 1
+), k AS (
+  SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS kept, count(*) AS n FROM (
+    SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM d) u
+  ANTI JOIN g USING (doc_id, p)
+  GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+""",
+)
 def op9_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.remove_repeats(documents(spark, sf_dir), width=20)
     return found.select(
