@@ -23,14 +23,21 @@ WORD_WIDTH, CHAR_WIDTH, CHAR_STATE, STATE, ATTENTION = 8, 8, 8, 12, 16
 #: The bounded sample that the network learns from: documents of each label, windows of each.
 TOXIC_DOCUMENTS, CLEAN_DOCUMENTS, SAMPLED_WINDOWS = 1200, 2400, 24
 UPDATES, BATCH, RATE = 900, 66, 0.01
+#: Small samples get fewer updates: so many times through their windows.
+ROUNDS, FEWEST_UPDATES = 12, 200
 #: Documents of the sample that a word, or a start of so many letters, must be in to count.
 SHARED_BY = 3
 STEM = 4
+#: Documents' worth of doubt whether a word in toxic ones only is so by chance.
+DOUBT = 6
 #: Telling words that are added to each batch, and half the number of clean documents' words.
 HINTS = 100
-#: Share of words taken as unknown in training, and the updates before which windows are relabelled.
+#: Share of the other words that stay in toxic windows.
+KEPT = 0.1
+#: Share of words taken as unknown in training, and after which shares of the updates windows are
+#: relabelled.
 FORGOTTEN = 0.3
-RELABELLED = (250, 400, 550, 700, 800)
+RELABELLED = (0.28, 0.44, 0.61, 0.78, 0.89)
 #: Clean windows that are scored then; the highest twentieth of them come up more often.
 MINED = 8000
 #: Distinct words whose inputs a task remembers at most.
@@ -313,9 +320,9 @@ def train(windows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network |
     uncertain. Later a toxic document's windows take part only if they score above a half, or
     highest within it.
 
-    Words that few of the toxic documents share, and whose first letters don't tell either, say
-    nothing about toxicity, but a network could learn them by heart; in toxic windows words of clean
-    ones stand in for them, new ones each time. Beside the labels, the words' inputs are trained to
+    Words that clean documents have as well say nothing about toxicity by themselves, but a network
+    could learn a window by heart from them; in toxic windows words of clean ones stand in for most
+    of them, new ones each time. Beside the labels, the words' inputs are trained to
     foretell which words toxic documents have to themselves. Some words are taken as unknown, so
     that the characters have to do. Last, the logits are scaled and shifted so that those of the
     documents' highest windows come out as probabilities.
@@ -332,15 +339,15 @@ def train(windows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network |
             n_toxic.update(both)
     listed = [w for w, n in n_in.most_common() if n >= SHARED_BY and w[0] != "^"]
     net = Network.new(sorted(listed[:VOCABULARY]), seed)
-    usual = sum(1 for _, label, _ in _by_document(windows) if label)
-    usual /= sum(1 for _ in _by_document(windows))
+    document_labels = [label for _, label, _ in _by_document(windows)]
+    usual = sum(document_labels) / len(document_labels)
 
     def telling(word: str) -> float:
         """How far a word, or how it begins, is from being as usual in clean documents: 0 to 1."""
         most = 0.0
         for key in (word, "^" + word[:STEM]):
             if n_in[key] >= SHARED_BY:
-                share = (n_toxic[key] + 2 * usual) / (n_in[key] + 2)
+                share = (n_toxic[key] + DOUBT * usual) / (n_in[key] + DOUBT)
                 most = max(most, (share - usual) / (1 - usual))
         return most
 
@@ -350,18 +357,20 @@ def train(windows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network |
     def words_of(k: int) -> list[str]:
         words = windows[k][2]
         if labels[k]:
-            swaps = random.integers(len(others), size=len(words))
+            swaps = random.choice(others, len(words)).tolist()
+            keep = random.random(len(words)) < KEPT
             words = [
-                w if n_toxic[w] >= SHARED_BY or telling(w) > 0.3 else str(others[s])
-                for w, s in zip(words, swaps, strict=True)
+                w if k or telling(w) > 0.3 else s for w, s, k in zip(words, swaps, keep, strict=True)
             ]
         return words
 
     clean = hard = np.flatnonzero(labels == 0)
     first = {name: np.zeros_like(getattr(net, name)) for name in LEARNED}
     second = {name: np.zeros_like(getattr(net, name)) for name in LEARNED}
-    for update in range(1, UPDATES + 1):
-        if update in RELABELLED:
+    updates = int(np.clip(ROUNDS * len(windows) / BATCH, FEWEST_UPDATES, UPDATES))
+    relabelled = {int(share * updates) for share in RELABELLED}
+    for update in range(1, updates + 1):
+        if update in relabelled:
             labels = _relabelled(net, windows, labels)
             some = random.choice(clean, min(len(clean), MINED), replace=False)
             hard = some[np.argsort(-_scores(net, windows, some))[: max(len(some) // 20, 1)]]
@@ -378,7 +387,7 @@ def train(windows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network |
         known[random.random(len(known)) < FORGOTTEN] = 0
         said = np.array([telling(w) for w in words], np.float32)
         _, d = gradients(net, words, known, said, places, sizes, labels[chosen])
-        rate = RATE * (1 - update / (UPDATES + 1)) ** 0.5
+        rate = RATE * (1 - update / (updates + 1)) ** 0.5
         for name in LEARNED:  # Adam
             g = d[name]
             first[name] = 0.9 * first[name] + 0.1 * g
@@ -536,8 +545,8 @@ def scored(
 
     The network is fitted on at most so many labelled documents of each kind, and then reads every
     window of every text: words of 32 at a time, 8 of them shared with the next. A word's input is
-    a vector (of frequent words) and the end states of a two-way gated recurrent network over its characters;
-    the words' states, from a second such network, are pooled by attention. Distinct words go
+    a vector (of frequent words) and the end states of a two-way gated recurrent network over its
+    characters; the words' states, from a second such network, are pooled by attention. Distinct words go
     through the characters' network once a task.
 
     NULL texts and texts without a word score 0. Labels other than 0 and 1 are left out; without
