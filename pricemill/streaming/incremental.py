@@ -13,6 +13,7 @@ from pricemill.operators.ordered import top_per_group
 from pricemill.sinks.tables import YEAR, by_year
 
 LOAD, BATCH = "load_id", "batch_id"
+DATED = (T.DateType, T.TimestampType, T.TimestampNTZType)
 # What Spark reports for a folder that is not there or holds no files yet.
 NOTHING_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -93,8 +94,8 @@ def append_batch(
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch``: clean, keep the newest row per key, append what is new.
 
-    ``day``, if given, is a key column that bounds the part of the table to look at; the rows of a
-    batch are then partitioned by its year.
+    ``day``, if given, is a key column that bounds the part of the table to look at; if it holds
+    dates, the rows of a batch are partitioned by its year.
 
     A batch owns the folder ``load_id=.../batch_id=n`` and replaces it. Batch numbers start again
     with a new checkpoint, so each call has a load id of its own. A batch that is run again, by the
@@ -108,10 +109,10 @@ def append_batch(
         before = _loaded_before(arrived.sparkSession, path, load, batch)
         if before is not None:
             found = arrived.agg(F.min(day)).first()[0] if day else None
-            first = F.lit(found).cast("date") if found is not None else None
+            first = F.lit(found) if found is not None else None
             rows = not_loaded(rows, before, keys, day, first)
         folder = f"{path}/{LOAD}={load}/{BATCH}={batch}"
-        if day:
+        if day and isinstance(rows.schema[day].dataType, DATED):
             by_year(rows, day).write.mode("overwrite").partitionBy(YEAR).parquet(folder)
         else:
             rows.write.mode("overwrite").parquet(folder)
