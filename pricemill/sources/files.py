@@ -136,9 +136,10 @@ def _fields(record: Column) -> Column:
     return bound(_parsed(record), _values)
 
 
-def _column_name(header: Column) -> Column:
-    """``snake_name`` of a header field."""
-    return F.lower(F.regexp_replace(strip(header), r"(?U)\s+", "_"))
+def _column_names(header: Column) -> Column:
+    """``snake_name`` of each field of a header; runs of blanks are found once for all of them."""
+    even = F.lower(F.regexp_replace(header, r"(?U)\s+", " "))
+    return F.transform(_fields(even), lambda f: F.replace(strip(f), F.lit(" "), F.lit("_")))
 
 
 def _places(
@@ -160,7 +161,7 @@ def _places(
         return F.when(lacking, F.raise_error(text).cast("array<bigint>")).otherwise(found)
 
     found = bound(
-        F.transform(_fields(header), _column_name),
+        _column_names(header),
         lambda own: F.transform(wanted, lambda n: F.coalesce(F.array_position(own, n), F.lit(0))),
     )
     fields = F.regexp_count(header, F.lit(f"{FIELD}(?:,|$)"))
