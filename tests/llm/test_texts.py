@@ -459,6 +459,21 @@ def test_bit_model_is_a_distribution_and_learns():
     assert total <= 1 + 1e-6
 
 
+def test_scores_tell_phrases_from_shuffled_words(spark):
+    dice = random.Random(6)
+    words = ["".join(dice.choices("abcdefgh", k=5)) for _ in range(60)]
+    phrase = " ".join(dice.sample(words, 30))
+    texts = [f"{w} {phrase} {v}" for w, v in zip(words, reversed(words), strict=True)]
+    shuffled = " ".join(dice.sample(phrase.split(), 30))
+    rows = [(k, t, False) for k, t in enumerate(texts)]
+    rows += [(100, phrase, True), (101, shuffled, True)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean")
+    found = {r.id: r for r in mixing.scored(df).collect()}
+    assert found[100].base_score == pytest.approx(found[101].base_score)
+    assert found[100].score > found[101].score + 20
+    assert found[100].bits_per_byte < found[101].bits_per_byte
+
+
 # --- toxicity -----------------------------------------------------------------------------
 
 
