@@ -27,6 +27,8 @@ BASE = 3
 EXAMPLE_WORDS = r"(?i)example|sample|dummy|test|change_?me|your|xxxx|0000|1234"
 #: Distinct characters that a live value has at least.
 LEAST_DISTINCT = 8
+#: Limits above which a value is widely copied, for corpora with copies of documents.
+WIDELY = {"max_owners": 5, "max_repositories": 5}
 
 
 def _candidates(text: Column) -> Column:
@@ -74,14 +76,17 @@ def secrets(
     repository_column: str = "lang",
     owner_column: str = "source",
     max_owners: int = 1,
+    max_repositories: int = 1,
 ) -> DataFrame:
     """(id, key, spans) of the rows with secrets; ``key`` is a hash of the text.
 
     ``spans``: an array by start and kind of (start, kind, end, live, owners, repositories), in code
     points, ends exclusive. Base kinds are always listed. How many distinct owners, and
     repositories of owners, have a value (by its SHA-256) tells copied examples from credentials:
-    ``live`` says that at most ``max_owners`` have it and that it looks like one. Candidates of the
-    added kind are listed only if live.
+    a value is widely copied if more than ``max_owners`` owners have it, in as many distinct texts, and
+    more than ``max_repositories`` repositories, in as many distinct texts; so copies of one text
+    make no example. ``live`` says that it is not, and that it looks like a credential. Candidates of
+    the added kind are listed only if live.
 
     NULL and empty texts have none. NULL owners and repositories count as values of their own.
     Rows equal in id and text are one row here. An empty table gives an empty one.
@@ -113,11 +118,12 @@ def secrets(
         ),
         "candidates",
     )
-    # each value's repositories and owners; copies are combined before each shuffle
-    usage = matches.filter("fits").select("hash", "owner", "repository").distinct()
-    usage = usage.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
+    # each value's owners, repositories and texts; copies are combined before each shuffle
+    usage = matches.filter("fits").select("hash", "key", "owner", "repository").distinct()
     usage = usage.groupBy("hash").agg(
-        F.count("*").alias("owners"), F.sum("repositories").alias("repositories")
+        F.count_distinct("owner").alias("owners"),
+        F.count_distinct("owner", "repository").alias("repositories"),
+        F.count_distinct("key").alias("texts"),
     )
     usage = stored(usage, "usage")
     order = Window.partitionBy("id", "key", "kind").orderBy("k")
@@ -131,9 +137,10 @@ def secrets(
         ),
         "spans",
     )
-    spans = spans.join(usage, "hash").withColumn(
-        "live", F.col("looks_live") & (F.col("owners") <= max_owners)
+    widely = (F.least("owners", "texts") > max_owners) & (
+        F.least("repositories", "texts") > max_repositories
     )
+    spans = spans.join(usage, "hash").withColumn("live", F.col("looks_live") & ~widely)
     listed = spans.filter((F.col("kind") < BASE) | F.col("live"))
     span = F.struct("start", "kind", "end", "live", "owners", "repositories")
     return listed.groupBy("id", "key").agg(F.sort_array(F.collect_list(span)).alias("spans"))
@@ -163,9 +170,11 @@ def scanned(
     repository_column: str = "lang",
     owner_column: str = "source",
     max_owners: int = 1,
+    max_repositories: int = 1,
 ) -> DataFrame:
     """(id, spans) for every row, with an empty array where there is no secret."""
-    found = secrets(df, id_column, text_column, repository_column, owner_column, max_owners)
+    limits = max_owners, max_repositories
+    found = secrets(df, id_column, text_column, repository_column, owner_column, *limits)
     found = stored(found, "secrets").alias("f")
     rows = pick(df, id=id_column, text=text_column)
     rows = rows.select("id", F.xxhash64("text").alias("key")).alias("r")
@@ -181,6 +190,7 @@ def without_secrets(
     repository_column: str = "lang",
     owner_column: str = "source",
     max_owners: int = 1,
+    max_repositories: int = 1,
     mask: str = "[secret]",
     example_mask: str = "[example]",
 ) -> DataFrame:
@@ -188,7 +198,8 @@ def without_secrets(
 
     Runs with a live secret get ``mask``, those of copied examples alone ``example_mask``.
     """
-    found = secrets(df, id_column, text_column, repository_column, owner_column, max_owners)
+    limits = max_owners, max_repositories
+    found = secrets(df, id_column, text_column, repository_column, owner_column, *limits)
     found = stored(found, "secrets")
     # overlapping spans become runs, and runs become (text before, live) with a rest
     order = Window.partitionBy("id", "key").orderBy("start", "kind")

@@ -293,6 +293,19 @@ def test_owners_tell_copied_examples_from_live_secrets(spark):
     assert texts[9] == "key [secret] [example]" and texts[0] == f"see {copied} here"
 
 
+def test_copies_of_a_document_make_no_example(spark):
+    twice, copied, wide = "q7Zk2mVx9TbW4nRs8LcY3pHd", "aB3dE6gH9jK2mN5pQ8rT1vW4", "zX9cV8bN7mK6jH5gF4dS3aP2"
+    rows = [(k, f"own words {k} {twice}", "r", f"owner{k}") for k in range(2)]
+    rows += [(10 + k, f"key {copied}", "r", f"owner{k}") for k in range(9)]  # one text
+    rows += [(20 + k, f"text {k} {wide}", "r", f"owner{k}") for k in range(9)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    spans = {r.id: r.spans for r in secrets.scanned(df, **secrets.WIDELY).collect()}
+    assert all([(s.kind, s.live) for s in spans[k]] == [(3, True)] for k in (0, 1, 10, 18))
+    assert spans[10][0].owners == 9 and spans[20] == spans[28] == []
+    texts = {r.doc_id: r.text for r in secrets.without_secrets(df, **secrets.WIDELY).collect()}
+    assert texts[1] == "own words 1 [secret]" and texts[12] == "key [secret]" and wide in texts[20]
+
+
 def test_masking_keeps_rows_and_columns(odd, none, awkward_rows):
     found = secrets.without_secrets(odd)
     assert found.columns == odd.columns and found.count() == len(awkward_rows)
