@@ -487,6 +487,19 @@ def test_scores_tell_phrases_from_shuffled_words(spark):
     assert found[100].bits_per_byte < found[101].bits_per_byte
 
 
+def test_many_contexts_share_no_counts():
+    dice = np.random.default_rng(5)
+    texts = [t.tobytes() for t in dice.integers(97, 123, (150_000, 9), np.uint8)]
+    model = mixing.Model()
+    mixing.count(model, texts)
+    assert len(model.keys) > 1 << 21
+    new = [t.tobytes() for t in dice.integers(65, 91, (2_000, 9), np.uint8)]  # capitals
+    stream, starts = mixing._stream(new)
+    inside = np.arange(len(stream)) % 10
+    for places, lean in mixing._own_leanings(model, stream, starts, without_own=False):
+        assert not lean[places[inside > 0]].any()  # no context of these has been seen
+
+
 # --- toxicity -----------------------------------------------------------------------------
 
 
