@@ -9,6 +9,10 @@ from pricemill.llm import quality, secrets, simhash, substrings
 from pricemill.llm.common import documents, stored
 from pricemill.llm.queries import packed
 
+#: Share of a host's texts that a shared line needs besides its 20 texts. It starts to count at hosts
+#: of 20,000 texts: there, 20 texts may have a short line by chance.
+SHARE = 0.001
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -23,7 +27,7 @@ def counted(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, without the lines that too many of their host share."""
-    return counted(quality.keep_good(docs))
+    return counted(quality.keep_good(docs, share=SHARE))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from pricemill.llm import (
     bpe,
     mixing,
@@ -241,6 +242,14 @@ def test_lines_that_many_documents_share_go(spark, broadcast_lines):
     assert texts[0] == own(0) and 51 not in texts and texts[60] == f"{own(0)}\ncopied"
 
 
+def test_pipeline_takes_lines_of_a_few_per_cent_of_a_large_host(spark):
+    own = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    rows = [(k, own(k) + "\nsubscribe now" * (k < 30), "a", 0) for k in range(1000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
+    found = corpus_pipeline.quality_rules(spark, df, "").collect()
+    assert {r.doc_id: r.text for r in found} == {k: own(k) for k in range(1000)}
+
+
 # --- secrets ------------------------------------------------------------------------------
 
 
