@@ -9,6 +9,7 @@ from pricemill.llm import (
     bpe,
     embeddings,
     mixing,
+    nearest,
     packing,
     quality,
     secrets,
@@ -251,3 +252,28 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query(
+    "op11_nearest",
+    """
+WITH v AS (
+  SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), d AS (
+  SELECT q.vec_id AS query_id, q.e, v.vec_id,
+         sqrt(list_sum(list_transform(list_zip(q.e, v.e), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
+  FROM v q JOIN v ON q.vec_id % 100 = 0 AND len(q.e) = len(v.e) AND (q.vec_id <> v.vec_id OR q.e <> v.e)
+), r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id, e ORDER BY score, vec_id) AS rank, vec_id,
+         score
+  FROM d
+)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
+""",
+)
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = nearest.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=100, k=10)
+    return found.withColumnRenamed("id", "vec_id").drop("query_hash")
