@@ -14,6 +14,7 @@ from pricemill.llm import (
     quality,
     secrets,
     simhash,
+    spelling,
     substrings,
     toxicity,
     warc,
@@ -277,3 +278,66 @@ SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
 def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = nearest.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), every=100, k=10)
     return found.withColumnRenamed("id", "vec_id").drop("query_hash")
+
+
+#: The 256 steps of a CRC-32, for DuckDB, which has none.
+_CRC_TABLE = """
+SELECT list_transform(range(256), lambda i: list_reduce(
+         list_prepend(i::BIGINT, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+         lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))) AS steps
+"""
+
+
+def _crc32(x: str) -> str:
+    """The CRC-32 of a text in SQL, from ``steps``."""
+    octet = f"('0x' || substr(hex(encode({x})), 2 * k + 1, 2))::BIGINT"
+    octets = f"list_transform(range(octet_length(encode({x}))), lambda k: {octet})"
+    step = "xor(c >> 8, steps[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), lambda c, b: {step}), 4294967295)"
+
+
+@query(
+    "op13_spelling",
+    rf"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}), r AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+    FROM documents)
+  WHERE length(run) >= 5 GROUP BY doc_id, run
+), h AS (
+  SELECT run, n, {_crc32("doc_id || ':' || run")} AS h FROM r, crc
+), w AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                ELSE run END AS word, n FROM h)
+  GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3
+), x AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w)
+), e AS (
+  SELECT a.word, b.word AS form, b.n AS form_n FROM x a JOIN x b
+  ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT x.word, w.word, w.n FROM x JOIN w ON x.rest = w.word
+  UNION SELECT w.word, x.word, x.n FROM x JOIN w ON x.rest = w.word
+), b AS (
+  SELECT word, count(*) AS n_near, max(form_n) AS form_n FROM e GROUP BY word
+), f AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n
+  FROM w LEFT JOIN b USING (word)
+), g AS (
+  SELECT f.word, n, n_near, f.form_n, min(form) AS form
+  FROM f LEFT JOIN e ON e.word = f.word AND e.form_n = f.form_n
+  GROUP BY f.word, n, n_near, f.form_n
+), p AS (
+  SELECT word, word AS place FROM g
+  UNION ALL SELECT p.word, g.form FROM p JOIN g ON g.word = p.place WHERE g.form IS NOT NULL
+), t AS (
+  SELECT p.word, place AS root FROM p JOIN g ON g.word = p.place WHERE g.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM g JOIN t USING (word)
+""",
+)
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
