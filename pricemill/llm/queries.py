@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pricemill.llm import (
     bpe,
     embeddings,
+    manifest,
     mixing,
     nearest,
     packing,
@@ -341,3 +342,72 @@ SELECT word, form, root, n, n_near, form_n FROM g JOIN t USING (word)
 )
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(documents(spark, sf_dir))
+
+
+def _items(text: str) -> str:
+    """What the digest of a document takes, in SQL."""
+    values = ("doc_id", "source", "lang", "n_chars", text)
+    one = "coalesce(octet_length(encode({0}::VARCHAR)) || ':' || {0}, '-')"
+    return " || ".join(one.format(value) for value in values)
+
+
+@query(
+    "op12_manifest",
+    f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}), d AS (
+  SELECT doc_id, coalesce('x' || source, '') AS src, sha256({_items("text")}) AS leaf,
+         sha256({_items("replace(text, chr(10), '')")}) AS other
+  FROM documents
+), l AS (
+  SELECT *, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         CASE WHEN {_crc32("doc_id::VARCHAR")} % 2 = 0 THEN other ELSE leaf END AS seen
+  FROM d, crc
+), t AS (
+  SELECT src, 0 AS lvl, pos, leaf AS h FROM l
+  UNION ALL
+  SELECT src, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER (PARTITION BY src) AS n FROM t) WHERE n > 1 GROUP BY src, lvl, pos // 3
+), s AS (
+  SELECT src, max(lvl) AS top FROM t GROUP BY src
+), r AS (
+  SELECT src, top, h, row_number() OVER (ORDER BY src) - 1 AS pos FROM t JOIN s USING (src)
+  WHERE lvl = top
+), u AS (
+  SELECT 0 AS lvl, pos, h FROM r
+  UNION ALL
+  SELECT lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos))
+  FROM (SELECT *, count(*) OVER () AS n FROM u) WHERE n > 1 GROUP BY lvl, pos // 3
+), a AS (
+  SELECT src, lvl, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM t JOIN s USING (src)
+  WHERE lvl < top GROUP BY ALL
+), b AS (
+  SELECT lvl, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM u
+  WHERE lvl < (SELECT max(lvl) FROM u) GROUP BY ALL
+), p AS (
+  SELECT doc_id, l.src, l.pos AS leaf_pos, 0 AS step, top, CASE WHEN top = 0 THEN r.pos ELSE l.pos END AS pos,
+         r.pos AS src_pos, seen AS h, '' AS others
+  FROM l JOIN r USING (src)
+  UNION ALL
+  SELECT doc_id, p.src, leaf_pos, step + 1, top,
+         CASE WHEN step + 1 = top THEN src_pos ELSE pos // 3 END, src_pos,
+         sha256(array_to_string(list_concat(hs[1:pos % 3], [h], hs[pos % 3 + 2:]), '')),
+         others || array_to_string(list_concat(hs[1:pos % 3], hs[pos % 3 + 2:]), '')
+  FROM p JOIN (SELECT src, lvl, run, hs FROM a UNION ALL SELECT src, top + lvl, run, hs FROM b, s) x
+    ON x.src = p.src AND x.lvl = step AND x.run = pos // 3
+), e AS (
+  SELECT src, leaf_pos, arg_max(h, step) AS folded_root, sha256(arg_max(others, step)) AS proof_sha256
+  FROM p GROUP BY src, leaf_pos
+), z AS (
+  SELECT h AS root FROM u WHERE lvl = (SELECT max(lvl) FROM u)
+)
+SELECT doc_id, leaf, r.h AS subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM l JOIN r USING (src) JOIN e ON e.src = l.src AND e.leaf_pos = l.pos, z
+""",
+)
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def tamper(key: Column, text: Column) -> Column:
+        chosen = F.crc32(key.cast("string")) % 2 == 0
+        return F.when(chosen, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)
+
+    found = manifest.manifest(documents(spark, sf_dir), tamper=tamper)
+    return found.withColumnRenamed("id", "doc_id").drop("proof")
