@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pricemill.operators import quality
 from pricemill.schemas import PriceTable
 from pricemill.sinks.tables import YEAR, write_table
-from pricemill.streaming.incremental import NOTHING_WRITTEN, not_loaded
+from pricemill.sinks.versions import NOTHING_WRITTEN
+from pricemill.streaming.incremental import not_loaded
 
 
 @dataclass(frozen=True)

@@ -20,6 +20,7 @@ from pricemill.plans.standins import GRAIN_SQL, HORTICULTURE_SQL, LIVESTOCK_SQL,
 from pricemill.schemas import CATTLE
 from pricemill.session import run_folder
 from pricemill.sinks import tables as sinks
+from pricemill.sinks import versions
 from pricemill.sources import files, pages, reports
 from pricemill.sources.tables import read_table
 from pricemill.streaming import incremental
@@ -1580,7 +1581,144 @@ def stream_load(spark: SparkSession, folder: str) -> DataFrame:
             ["ts", "event_id"],
             day="day",
         ).awaitTermination()
-    return spark.read.parquet(f"{path}/rows").select("user_id", "event_type", "event_id")
+    rows = versions.read(spark, f"{path}/rows", ["user_id", "event_type", "day"])
+    return rows.select("user_id", "event_type", "event_id")
+
+
+def _priced(spark: SparkSession, folder: str) -> str:
+    """Prices of orders in three loads: those of even keys; all, a third of them corrected and some
+    without a price; and the first ones again, which are older. Returns the path of the table."""
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("item"),
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.col("o_totalprice").alias("price"),
+        F.lit(1).alias("issue"),
+    )
+    early = orders.filter("item % 2 = 0")
+    later = orders.withColumns(
+        {
+            "price": F.when(F.col("item") % 5 == 0, None)
+            .when(F.col("item") % 3 == 0, F.col("price") + 1)
+            .otherwise(F.col("price")),
+            "issue": F.when(F.col("item") % 3 == 0, 2).otherwise(1),
+        }
+    )
+    path = run_folder(spark, "prices")
+    for n, rows in enumerate((early, later, early)):
+        rows.write.parquet(f"{path}/in/{n}")
+        incremental.load_new_files(
+            incremental.new_files(spark, f"{path}/in/{n}", orders.schema),
+            f"{path}/rows",
+            f"{path}/checkpoint{n}",
+            PRICE_KEY,
+            ["issue"],
+            day="day",
+            rules={"priced": F.col("price").isNotNull(), "late": F.col("day") < F.lit("2001-06-01")},
+            winner="newest",
+        ).awaitTermination()
+    return f"{path}/rows"
+
+
+PRICE_KEY = ["item", "day"]
+#: What the loads of prices bring, and what they then do with it.
+PRICES_SQL = """
+WITH o AS (
+  SELECT o_orderkey AS item, CAST(o_orderdate AS DATE) AS day, o_totalprice AS price FROM orders
+), arrived AS (
+  SELECT 0 AS version, item, day, price, 1 AS issue FROM o WHERE item % 2 = 0
+  UNION ALL
+  SELECT 1, item, day, CASE WHEN item % 5 = 0 THEN NULL WHEN item % 3 = 0 THEN price + 1 ELSE price END,
+         CASE WHEN item % 3 = 0 THEN 2 ELSE 1 END FROM o
+  UNION ALL
+  SELECT 2, item, day, price, 1 FROM o WHERE item % 2 = 0
+), good AS (
+  SELECT * FROM arrived WHERE price IS NOT NULL AND day < DATE '2001-06-01'
+), judged AS (
+  SELECT *, CASE WHEN version = 0 OR version = 1 AND item % 2 = 1 THEN 'new'
+                 WHEN item % 3 <> 0 OR version = 2 AND item % 5 = 0 THEN 'same'
+                 WHEN version = 1 THEN 'won' ELSE 'lost' END AS state
+  FROM good
+)
+"""
+PRICES_NOW = "SELECT item, day, arg_max(price, issue) AS price, max(issue) AS issue FROM good GROUP BY 1, 2"
+
+
+@query("stream_corrections", PRICES_SQL + PRICES_NOW)
+def stream_corrections(spark: SparkSession, folder: str) -> DataFrame:
+    """Corrected prices take the place of loaded ones; older ones that come later don't."""
+    path = _priced(spark, folder)
+    return versions.read(spark, path, PRICE_KEY).select("item", "day", "price", "issue")
+
+
+@query("stream_compacted", PRICES_SQL + PRICES_NOW)
+def stream_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows after the folders of the loads have become one."""
+    path = _priced(spark, folder)
+    versions.compact(spark, path, PRICE_KEY, "day")
+    return versions.read(spark, path, PRICE_KEY).select("item", "day", "price", "issue")
+
+
+@query(
+    "stream_disputes",
+    PRICES_SQL + """
+SELECT item, day, price, issue, state, version, CASE version WHEN 1 THEN 0 ELSE 1 END AS known_version
+FROM judged WHERE state IN ('won', 'lost')
+""",
+)
+def stream_disputes(spark: SparkSession, folder: str) -> DataFrame:
+    found = incremental.disputes(spark, _priced(spark, folder))
+    return found.select(
+        *PRICE_KEY,
+        "price",
+        "issue",
+        "state",
+        F.col("version").cast("int").alias("version"),
+        F.col("known_version").cast("int").alias("known_version"),
+    )
+
+
+@query(
+    "stream_counts",
+    PRICES_SQL + """
+, c AS (
+  SELECT version, unnest(map_entries(MAP {
+      'rows': count(*),
+      'broke_priced': count(*) FILTER (WHERE price IS NULL),
+      'broke_late': count(*) FILTER (WHERE day >= DATE '2001-06-01')})) AS e
+  FROM arrived GROUP BY version
+  UNION ALL
+  SELECT version, unnest(map_entries(MAP {
+      'new': count(*) FILTER (WHERE state = 'new'), 'same': count(*) FILTER (WHERE state = 'same'),
+      'won': count(*) FILTER (WHERE state = 'won'), 'lost': count(*) FILTER (WHERE state = 'lost')}))
+  FROM judged GROUP BY version
+)
+SELECT version, e.key AS name, e.value AS n FROM c
+""",
+)
+def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What each load has counted: rows, those that break a rule, and what became of the others."""
+    found = versions.counts(spark, _priced(spark, folder))
+    return found.select(F.col("version").cast("int").alias("version"), "name", "n")
+
+
+@query(
+    "stream_quarantine",
+    PRICES_SQL + """
+SELECT version, item, day, issue,
+       concat_ws(',', CASE WHEN price IS NULL THEN 'priced' END,
+                 CASE WHEN day >= DATE '2001-06-01' THEN 'late' END) AS broken
+FROM arrived WHERE price IS NULL OR day >= DATE '2001-06-01'
+""",
+)
+def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that broke rules, load by load."""
+    found = incremental.quarantine(spark, _priced(spark, folder))
+    return found.select(
+        F.col("version").cast("int").alias("version"),
+        *PRICE_KEY,
+        "issue",
+        F.array_join("broken_rules", ",").alias("broken"),
+    )
 
 
 @query(
@@ -1634,7 +1772,7 @@ def stream_sheets(spark: SparkSession, folder: str) -> DataFrame:
             clean,
             day="upload_date",
         ).awaitTermination()
-    return spark.read.parquet(f"{path}/rows").select(
+    return versions.read(spark, f"{path}/rows", ["value", "upload_date"]).select(
         "contract_type", "last", "value", "upload_date", "market_name"
     )
 

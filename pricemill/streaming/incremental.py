@@ -1,21 +1,19 @@
 """Load of new report files, one run per schedule tick, safe to repeat."""
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pricemill.operators.ordered import top_per_group
-from pricemill.sinks.tables import YEAR, by_year
+from pricemill.sinks import versions
+from pricemill.sinks.tables import YEAR
 
-LOAD, BATCH = "load_id", "batch_id"
-DATED = (T.DateType, T.TimestampType, T.TimestampNTZType)
-# What Spark reports for a folder that is not there or holds no files yet.
-NOTHING_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+#: The rules that a row in quarantine breaks.
+BROKEN = "broken_rules"
 
 
 def new_files(
@@ -75,14 +73,38 @@ def _no_year(target: DataFrame) -> Column:
     return F.col(YEAR).isNull() if YEAR in target.columns else F.lit(True)
 
 
-def _loaded_before(spark: SparkSession, path: str, load: str, batch: int) -> DataFrame | None:
-    """All rows of the table but those of this batch of this load."""
-    try:
-        return spark.read.parquet(path).filter(~((F.col(LOAD) == load) & (F.col(BATCH) == batch)))
-    except AnalysisException as missing:
-        if missing.getCondition() in NOTHING_WRITTEN:
-            return None
-        raise
+#: What to do with a row whose key is loaded with other values.
+WINNERS = ("first", "newest", "last")
+
+
+def _counted(**what: Column) -> list[Column]:
+    return [F.count_if(F.coalesce(test, F.lit(False))).alias(name) for name, test in what.items()]
+
+
+def _judged(
+    picked: DataFrame, known: DataFrame | None, keys: Sequence[str], newest: Sequence[str], winner: str
+) -> DataFrame:
+    """Rows with ``state``: new, same, won or lost, by the rows that the table has."""
+    if known is None:
+        return picked.withColumn(versions.STATE, F.lit(versions.NEW))
+    taken = [*keys, *newest, versions.HASH, versions.VERSION]
+    other = known.select(*[F.col(c).alias(f"_other_{c}") for c in dict.fromkeys(taken)])
+    before = F.col(f"_other_{versions.VERSION}")
+    wins = {
+        "first": F.lit(False),
+        "last": F.lit(True),
+        "newest": F.struct(*newest) > F.struct(*[F.col(f"_other_{c}").alias(c) for c in newest]),
+    }[winner]
+    state = (
+        F.when(before.isNull(), versions.NEW)
+        .when(F.col(versions.HASH) == F.col(f"_other_{versions.HASH}"), "same")
+        .when(wins, versions.WON)
+        .otherwise("lost")
+    )
+    joined = picked.join(other, versions.same_key(keys), "left")
+    return joined.select(
+        *picked.columns, state.alias(versions.STATE), before.alias("known_version")
+    )
 
 
 def append_batch(
@@ -91,36 +113,94 @@ def append_batch(
     newest: Sequence[str],
     clean: Callable[[DataFrame], DataFrame] | None = None,
     day: str | None = None,
+    rules: Mapping[str, Column] | None = None,
+    winner: str = "first",
 ) -> Callable[[DataFrame, int], None]:
-    """Function for ``foreachBatch``: clean, keep the newest row per key, append what is new.
+    """Function for ``foreachBatch``: clean, check, keep the newest row per key, add what is new.
 
-    ``day``, if given, is a key column that bounds the part of the table to look at; if it holds
-    dates, the rows of a batch are partitioned by its year.
+    ``day``, if given, is a key column that bounds the versions to look at; if it holds dates, the rows
+    of a batch are partitioned by its year. Rows that break one of the ``rules`` go to the quarantine,
+    with the names of those they break; the counts are a by-product of that write.
 
-    A batch owns the folder ``load_id=.../batch_id=n`` and replaces it. Batch numbers start again
-    with a new checkpoint, so each call has a load id of its own. A batch that is run again, by the
-    same call or another, finds the rows it wrote before by their keys and doesn't add them twice.
+    A row whose key the table has is the same, if its other values are; else there is a dispute, which
+    ``winner`` decides: ``first`` keeps what is loaded, ``last`` takes what comes, ``newest`` takes it if
+    the ``newest`` columns are larger. Either way the row that came is in the table of disputes. What a
+    row's values are is compared by a hash of 64 bits that is stored with it.
+
+    A batch is a version of the table (``sinks.versions``) and is seen once its entry is written. One that
+    failed is written anew; one that is run again after that finds its rows by their keys and adds
+    nothing.
     """
+    if winner not in WINNERS:
+        raise ValueError(f"winner is one of {', '.join(WINNERS)}")
     load = uuid.uuid4().hex
 
     def run(arrived: DataFrame, batch: int) -> None:
-        arrived = (clean(arrived) if clean else arrived).persist()
-        rows = newest_per_key(arrived, keys, newest)
-        before = _loaded_before(arrived.sparkSession, path, load, batch)
-        if before is not None:
-            found = arrived.agg(F.min(day)).first()[0] if day else None
-            first = F.lit(found) if found is not None else None
-            rows = not_loaded(rows, before, keys, day, first)
-        folder = f"{path}/{LOAD}={load}/{BATCH}={batch}"
-        if day and isinstance(rows.schema[day].dataType, DATED):
-            by_year(rows, day).write.mode("overwrite").partitionBy(YEAR).parquet(folder)
-        else:
-            rows.write.mode("overwrite").parquet(folder)
-        arrived.unpersist()
+        spark = arrived.sparkSession
+        entries = versions.history(spark, path)
+        version = versions.next_version(entries)
+        rows = clean(arrived) if clean else arrived
+        clash = {*versions.OWN, "known_version", BROKEN} & set(rows.columns)
+        if clash:
+            raise ValueError(f"columns of the table's own: {', '.join(sorted(clash))}")
+        columns = rows.columns
+        found: dict[str, int] = {}
+        kept = []
+        try:
+            if rules:
+                rows, seen = quarantined(rows, rules, f"{path}/_quarantine/version={version}")
+                kept.append(rows)
+                found |= {(k if k == "rows" else f"broke_{k}"): n for k, n in seen.items()}
+                rows = rows.filter(F.size(BROKEN) == 0).drop(BROKEN)
+            values = [c for c in columns if c not in keys]
+            hashed = rows.withColumn(versions.HASH, F.xxhash64(*(values or keys)))
+            order = [*newest, versions.HASH]
+            picked = newest_per_key(hashed, keys, order).persist()
+            kept.append(picked)
+            alive = versions.live(entries)
+            held = versions.may_hold(spark, path, alive, picked, keys, day) if alive else []
+            known = versions.current(spark, path, held, keys) if held else None
+            judged = _judged(picked, known, keys, newest, winner).persist()
+            kept.append(judged)
+            state = F.col(versions.STATE)
+            names = (versions.NEW, "same", versions.WON, "lost")
+            found |= judged.agg(*_counted(**{n: state == n for n in names})).first().asDict()
+            added = judged.filter(state.isin(versions.NEW, versions.WON)).drop("known_version")
+            if found[versions.NEW] or found[versions.WON]:
+                versions.write_rows(added, path, version, day)
+            if found[versions.WON] or found["lost"]:
+                disputed = judged.filter(state.isin(versions.WON, "lost")).drop(versions.HASH)
+                disputed.write.mode("overwrite").parquet(f"{path}/_disputes/version={version}")
+        finally:
+            for frame in kept:
+                frame.unpersist()
+        entry = versions.Entry(
+            version,
+            load,
+            batch,
+            counts=found,
+            states=tuple(s for s in (versions.NEW, versions.WON) if found[s]),
+            stored_schema=added.drop(versions.STATE).schema.json(),
+        )
+        versions.finish(spark, path, entry, keys, day)
 
     return run
 
 
+def quarantined(
+    rows: DataFrame, rules: Mapping[str, Column], folder: str
+) -> tuple[DataFrame, dict[str, int]]:
+    """Rows with the names of the rules that they break, kept for further passes, and how many rows there
+    are and break each rule. Those that break one are written to ``folder``."""
+    broken = [F.when(F.coalesce(keep, F.lit(False)), None).otherwise(n) for n, keep in rules.items()]
+    marked = rows.withColumn(BROKEN, F.array_compact(F.array(*broken))).persist()
+    seen = Observation()
+    tests = {name: F.array_contains(BROKEN, name) for name in rules}
+    watched = marked.observe(seen, F.count(F.lit(1)).alias("rows"), *_counted(**tests))
+    watched.filter(F.size(BROKEN) > 0).write.mode("overwrite").parquet(folder)
+    return marked, seen.get
+
+
 def load_new_files(
     stream: DataFrame,
     path: str,
@@ -129,14 +209,27 @@ def load_new_files(
     newest: Sequence[str],
     clean: Callable[[DataFrame], DataFrame] | None = None,
     day: str | None = None,
+    rules: Mapping[str, Column] | None = None,
+    winner: str = "first",
 ) -> StreamingQuery:
     """Load all files that are new since the last run, then stop.
 
-    ``clean`` is the same function the batch job uses.
+    ``clean`` and ``rules`` are the same that the batch job uses.
     """
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(append_batch(path, keys, newest, clean, day))
+        .foreachBatch(append_batch(path, keys, newest, clean, day, rules, winner))
         .start()
     )
+
+
+def quarantine(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows that broke rules, with the names of these and the ``version`` they came with."""
+    return versions.put_aside(spark, path, "quarantine", ("broke_",))
+
+
+def disputes(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows that came with other values for a key of the table: whether they won or lost (``state``),
+    the ``version`` they came with, and the one that had the key (``known_version``)."""
+    return versions.put_aside(spark, path, "disputes", (versions.WON, "lost"))
