@@ -46,33 +46,35 @@ def load(
     spark = rows.sparkSession
     columns = table.stored.fieldNames()
     typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.stored])
-    typed = typed.persist()
-    rules = rules_of(table)
-    counts = quality.rule_losses(typed, rules).first().asDict()
-    good = typed
-    for keep in rules.values():
-        good = good.filter(keep)
-    keys = list(table.keys or columns)
-    conflicts = quality.key_conflicts(good, keys).count()
-    order = [*winner, *columns]
-    new = quality.keep_winner(good, keys, order) if table.keys else good.distinct()
-    first = good.agg(F.min(table.date)).first()[0]
+    kept = [typed.persist()]
     try:
-        before = spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() not in NOTHING_WRITTEN:
-            raise
-    else:
-        bound = F.lit(first).cast("date") if first is not None else None
-        # a key may have moved to another date: only keys with the date in them prune by it
-        day = table.date if table.date in keys else None
-        new = not_loaded(new, before, keys, day, bound)
-    new = new.persist()
-    added = new.count()
-    if added:
-        write_table(new.select(*columns), path, table.date)
-    for frame in (new, typed):
-        frame.unpersist()
+        rules = rules_of(table)
+        counts = quality.rule_losses(typed, rules).first().asDict()
+        good = typed
+        for keep in rules.values():
+            good = good.filter(keep)
+        keys = list(table.keys or columns)
+        conflicts = quality.key_conflicts(good, keys).count()
+        order = [*winner, *columns]
+        new = quality.keep_winner(good, keys, order) if table.keys else good.distinct()
+        first = good.agg(F.min(table.date)).first()[0]
+        try:
+            before = spark.read.parquet(path)
+        except AnalysisException as missing:
+            if missing.getCondition() not in NOTHING_WRITTEN:
+                raise
+        else:
+            bound = F.lit(first).cast("date") if first is not None else None
+            # a key may have moved to another date: only keys with the date in them prune by it
+            day = table.date if table.date in keys else None
+            new = not_loaded(new, before, keys, day, bound)
+        kept.append(new.persist())
+        added = new.count()
+        if added:
+            write_table(new.select(*columns), path, table.date)
+    finally:
+        for frame in kept:
+            frame.unpersist()
     total = counts.pop("rows")
     return Loaded(total, counts, conflicts, added)
 

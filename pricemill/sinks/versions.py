@@ -6,8 +6,10 @@ the next one takes its place. A table has one writer at a time, as its schedule
 """
 
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from dataclasses import fields as dataclass_fields
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -104,20 +106,18 @@ def stale(spark: SparkSession, path: str) -> list[str]:
     return [f"{path}/{VERSION}={v}" for e in history(spark, path) for v in e.replaces]
 
 
+def small_frame(spark: SparkSession, records: Sequence[dict], fields: str) -> DataFrame:
+    """A frame of a few records, made without a Python worker."""
+    text = F.lit(json.dumps(records, default=str))
+    return spark.range(1).select(F.inline(F.from_json(text, f"array<struct<{fields}>>")))
+
+
 def publish(spark: SparkSession, path: str, entry: Entry) -> None:
     """Write a version's entry: from here on its rows are part of the table."""
-    row = (
-        entry.load,
-        entry.batch,
-        list(entry.replaces),
-        dict(entry.counts),
-        list(entry.months),
-        entry.blocks,
-        list(entry.states),
-        entry.stored_schema,
-    )
-    one = spark.createDataFrame([row], ENTRY).coalesce(1)
-    one.write.mode("errorifexists").parquet(f"{path}/_entries/{VERSION}={entry.version}")
+    record = {f.name: getattr(entry, f.name) for f in dataclass_fields(entry)}
+    record["months"] = [m.asDict() for m in entry.months]
+    folder = f"{path}/_entries/{VERSION}={record.pop(VERSION)}"
+    small_frame(spark, [record], ENTRY).write.mode("errorifexists").parquet(folder)
 
 
 def stored_rows(
@@ -194,13 +194,12 @@ def put_aside(
 def counts(spark: SparkSession, path: str) -> DataFrame:
     """(load, batch, version, name, n): what each load has counted."""
     found = [
-        (e.load, e.batch, e.version, name, n)
+        {"load": e.load, "batch": e.batch, "version": e.version, "name": name, "n": n}
         for e in history(spark, path)
         for name, n in sorted(e.counts.items())
     ]
-    return spark.createDataFrame(
-        found, "load string, batch bigint, version bigint, name string, n bigint"
-    )
+    fields = "load string, batch bigint, version bigint, name string, n bigint"
+    return small_frame(spark, found, fields)
 
 
 # --- which versions may hold a key --------------------------------------------------------
@@ -222,8 +221,8 @@ def _places(hashed: str, blocks: str) -> tuple[Column, Column]:
     return F.pmod(hashed, blocks), F.array(*bits)
 
 
-def write_key_bits(rows: DataFrame, path: str, entry: Entry, keys: Sequence[str]) -> int:
-    """A Bloom filter of a version's keys, in blocks of 4 KB. Returns how many blocks."""
+def with_key_bits(rows: DataFrame, path: str, entry: Entry, keys: Sequence[str]) -> Entry:
+    """Write a Bloom filter of a version's keys, in blocks of 4 KB, and note how many blocks."""
     blocks = 1
     while blocks * BLOCK_KEYS < entry.rows:
         blocks *= 2
@@ -232,16 +231,32 @@ def write_key_bits(rows: DataFrame, path: str, entry: Entry, keys: Sequence[str]
     marked = hashed.select(block.alias("block"), F.explode(bits).alias("bit"))
     blocked = marked.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
     blocked.write.mode("overwrite").parquet(f"{path}/_keys/{VERSION}={entry.version}")
-    return blocks
+    return replace(entry, blocks=blocks)
 
 
-def months(rows: DataFrame, day: str | None) -> tuple[Row, ...]:
+def months(rows: DataFrame, day: str | None, *by: str) -> list[Row]:
     """The months of some rows: how many they are, and their first and last day."""
-    date = F.col(day).cast("date") if day else F.lit(None).cast("date")
-    found = rows.groupBy(month_of(day).alias("month")).agg(
-        F.count("*").alias("rows"), F.min(date).alias("first"), F.max(date).alias("last")
+    on = F.col(day).cast("date") if day else F.lit(None).cast("date")
+    found = rows.groupBy(*by, month_of(day).alias("month")).agg(
+        F.count("*").alias("rows"), F.min(on).alias("first"), F.max(on).alias("last")
     )
-    return tuple(found.orderBy("month").collect())
+    return found.collect()
+
+
+def merged_months(found: Iterable[Row]) -> tuple[Row, ...]:
+    """One row a month."""
+    merged: dict[date, Row] = {}
+    for m in found:
+        both = [x for x in (merged.get(m["month"]), m) if x is not None]
+        firsts = [x["first"] for x in both if x["first"] is not None]
+        lasts = [x["last"] for x in both if x["last"] is not None]
+        merged[m["month"]] = Row(
+            month=m["month"],
+            rows=sum(x["rows"] for x in both),
+            first=min(firsts, default=None),
+            last=max(lasts, default=None),
+        )
+    return tuple(merged[k] for k in sorted(merged))
 
 
 def may_hold(
@@ -262,10 +277,13 @@ def may_hold(
     if not near:
         return []
     # one row for each version and month that the loads so far have, whatever they hold
-    listed = spark.createDataFrame(
-        [(e.version, e.blocks, m["month"]) for e in near for m in e.months if m["month"] in wanted],
-        "version bigint, blocks bigint, month date",
-    )
+    shared = [
+        {"version": e.version, "blocks": e.blocks, "month": m["month"]}
+        for e in near
+        for m in e.months
+        if m["month"] in wanted
+    ]
+    listed = small_frame(spark, shared, "version bigint, blocks bigint, month date")
     hashed = rows.select(key_hash(keys).alias("h"), month_of(day).alias("month"))
     block, bits = _places("h", "blocks")
     asked = hashed.join(F.broadcast(listed), "month").select(
@@ -305,18 +323,6 @@ def write_rows(
     rows.write.mode("overwrite").partitionBy(STATE, YEAR).parquet(f"{path}/{VERSION}={version}")
 
 
-def finish(
-    spark: SparkSession, path: str, entry: Entry, keys: Sequence[str], day: str | None
-) -> Entry:
-    """Note which keys a written version has, and publish it."""
-    rows = stored_rows(spark, path, [entry])
-    if rows is not None:
-        entry = replace(entry, months=months(rows, day))
-        entry = replace(entry, blocks=write_key_bits(rows, path, entry, keys))
-    publish(spark, path, entry)
-    return entry
-
-
 def compact(
     spark: SparkSession,
     path: str,
@@ -350,4 +356,8 @@ def compact(
         states=states,
         stored_schema=rows.drop(STATE).schema.json(),
     )
-    return finish(spark, path, entry, keys, day)
+    written = stored_rows(spark, path, [entry])
+    entry = replace(entry, months=merged_months(months(written, day)))
+    entry = with_key_bits(written, path, entry, keys)
+    publish(spark, path, entry)
+    return entry

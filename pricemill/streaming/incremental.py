@@ -143,46 +143,50 @@ def append_batch(
         clash = {*versions.OWN, "known_version", BROKEN} & set(rows.columns)
         if clash:
             raise ValueError(f"columns of the table's own: {', '.join(sorted(clash))}")
-        columns = rows.columns
+        values = [c for c in rows.columns if c not in keys] or keys
         found: dict[str, int] = {}
         kept = []
         try:
             if rules:
                 rows, seen = quarantined(rows, rules, f"{path}/_quarantine/version={version}")
-                kept.append(rows)
                 found |= {(k if k == "rows" else f"broke_{k}"): n for k, n in seen.items()}
+            else:
+                rows = rows.persist()
+            kept.append(rows)
+            if rules:
                 rows = rows.filter(F.size(BROKEN) == 0).drop(BROKEN)
-            values = [c for c in columns if c not in keys]
-            hashed = rows.withColumn(versions.HASH, F.xxhash64(*(values or keys)))
-            order = [*newest, versions.HASH]
-            picked = newest_per_key(hashed, keys, order).persist()
-            kept.append(picked)
             alive = versions.live(entries)
-            held = versions.may_hold(spark, path, alive, picked, keys, day) if alive else []
+            held = versions.may_hold(spark, path, alive, rows, keys, day) if alive else []
             known = versions.current(spark, path, held, keys) if held else None
+            hashed = rows.withColumn(versions.HASH, F.xxhash64(*values))
+            picked = newest_per_key(hashed, keys, [*newest, versions.HASH])
             judged = _judged(picked, known, keys, newest, winner).persist()
             kept.append(judged)
             state = F.col(versions.STATE)
-            names = (versions.NEW, "same", versions.WON, "lost")
-            found |= judged.agg(*_counted(**{n: state == n for n in names})).first().asDict()
-            added = judged.filter(state.isin(versions.NEW, versions.WON)).drop("known_version")
-            if found[versions.NEW] or found[versions.WON]:
+            held_months = versions.months(judged, day, versions.STATE)
+            for name in (versions.NEW, "same", versions.WON, "lost"):
+                found[name] = sum(m["rows"] for m in held_months if m[versions.STATE] == name)
+            states = tuple(s for s in (versions.NEW, versions.WON) if found[s])
+            added = judged.filter(state.isin(*states)).drop("known_version")
+            entry = versions.Entry(
+                version,
+                load,
+                batch,
+                counts=found,
+                months=versions.merged_months(m for m in held_months if m[versions.STATE] in states),
+                states=states,
+                stored_schema=added.drop(versions.STATE).schema.json(),
+            )
+            if states:
                 versions.write_rows(added, path, version, day)
+                entry = versions.with_key_bits(added, path, entry, keys)
             if found[versions.WON] or found["lost"]:
                 disputed = judged.filter(state.isin(versions.WON, "lost")).drop(versions.HASH)
                 disputed.write.mode("overwrite").parquet(f"{path}/_disputes/version={version}")
+            versions.publish(spark, path, entry)
         finally:
             for frame in kept:
                 frame.unpersist()
-        entry = versions.Entry(
-            version,
-            load,
-            batch,
-            counts=found,
-            states=tuple(s for s in (versions.NEW, versions.WON) if found[s]),
-            stored_schema=added.drop(versions.STATE).schema.json(),
-        )
-        versions.finish(spark, path, entry, keys, day)
 
     return run
 
