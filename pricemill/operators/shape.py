@@ -105,6 +105,15 @@ def conform(
     return df.select(*out)
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, with their columns computed before any filter that follows.
+
+    A filter on computed columns is otherwise pushed below them, where it computes them a second
+    time. Columns that nobody asks for are computed too, so this is for filters on most of them.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def union_by_name(first: DataFrame, *others: DataFrame) -> DataFrame:
     """Union with columns matched by name; a missing column is NULL, duplicates stay."""
     out = first

@@ -47,7 +47,7 @@ PARSE = {
 
 
 def read_sheets(
-    spark: SparkSession, path: str, markets: DataFrame, suffix: str = ""
+    spark: SparkSession, path: str, markets: DataFrame, suffix: str = "", skip_bad: bool = False
 ) -> DataFrame:
     """Raw rows of one sheet per market, with the market attributes.
 
@@ -56,7 +56,15 @@ def read_sheets(
     """
     texts = files.file_name(files.read_whole_texts(spark, path, suffix))
     texts = shape.attach(texts, markets, "file_name")
-    return files.sheet_rows(texts, SHEET_COLUMNS, keep=MARKET_COLUMNS, required=SHEET_COLUMNS)
+    return files.sheet_rows(
+        texts, SHEET_COLUMNS, keep=MARKET_COLUMNS, required=SHEET_COLUMNS, skip_bad=skip_bad
+    )
+
+
+def sheet_faults(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """The files that ``read_sheets`` leaves out with ``skip_bad``, and why."""
+    texts = files.read_whole_texts(spark, path, suffix)
+    return files.sheet_faults(texts, SHEET_COLUMNS, required=SHEET_COLUMNS)
 
 
 def read_long_sheets(
@@ -73,7 +81,7 @@ def clean(raw: DataFrame, drop_incomplete: bool = True) -> DataFrame:
     """Raw text rows to ``grain_prices``; rows with any missing value go."""
     named = shape.rename(shape.snake_names(raw), {"conts": "contracts"})
     typed = shape.conform(named, GRAIN.columns, PARSE)
-    return filters.complete(typed) if drop_incomplete else typed
+    return filters.complete(shape.computed_once(typed)) if drop_incomplete else typed
 
 
 def with_contract(df: DataFrame, separator: str = " ") -> DataFrame:

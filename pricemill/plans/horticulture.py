@@ -40,7 +40,9 @@ PARSE = {
 }
 
 
-def read_sheets(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+def read_sheets(
+    spark: SparkSession, path: str, suffix: str = "", skip_bad: bool = False
+) -> DataFrame:
     """Raw rows of all market directories with section date and market columns."""
     texts = files.market_of_path(files.read_whole_texts(spark, path, suffix))
     rows = files.dated_sheet_rows(
@@ -51,10 +53,17 @@ def read_sheets(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
         section="Date",
         keep=("market_name", "market_code", "market_type"),
         required=REQUIRED,
+        skip_bad=skip_bad,
     )
     return filters.not_blank(rows, SHEET_COLUMNS)
 
 
+def sheet_faults(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
+    """The files that ``read_sheets`` leaves out with ``skip_bad``, and why."""
+    texts = files.read_whole_texts(spark, path, suffix)
+    return files.sheet_faults(texts, SHEET_COLUMNS, required=REQUIRED)
+
+
 def read_long_sheets(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     """The same rows from sheets that are too long to be one record each.
 

@@ -891,6 +891,57 @@ def _horticulture_rows(spark: SparkSession, folder: str) -> DataFrame:
     return horticulture.clean(raw)
 
 
+def _mixed_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """A sheet for each order: good, without a column, too wide, empty, or without header or rows."""
+    day, columns = F.date_format("o_orderdate", "dd/MM/yyyy"), grain.SHEET_COLUMNS
+    head, wide = ",".join(columns), ",".join([*columns, *[f"more {k}" for k in range(30)]])
+    row = _csv(F.lit("1 May 23 A"), *["1"] * 10, F.col("o_orderkey"), day)
+    kinds = [
+        _text("title", head, row, row),
+        _text("title", head.replace("Bid,", "bids,").replace(",Value", ""), row),
+        _text("title", wide, row),
+        F.lit(" \n"),
+        F.lit("title\n"),
+        _text("title", head, ",,,,,"),
+    ]
+    text = F.get(F.array(*kinds), (F.col("o_orderkey") % len(kinds)).cast("int"))
+    return table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("file_path"), text.alias("text")
+    )
+
+
+@query(
+    "sheet_faults",
+    """
+SELECT CAST(o_orderkey AS VARCHAR) AS file_path,
+       CASE o_orderkey % 6 WHEN 1 THEN 'the sheet lacks a column: Bid, Value'
+                           WHEN 2 THEN 'the sheet is too wide' WHEN 3 THEN 'the sheet is empty'
+                           WHEN 4 THEN 'the sheet has no header' ELSE 'the sheet has no rows' END AS fault
+FROM orders WHERE o_orderkey % 6 > 0
+""",
+)
+def sheet_faults(spark: SparkSession, folder: str) -> DataFrame:
+    """The sheets that can't be loaded, each with its reason."""
+    texts = _mixed_sheets(spark, folder)
+    return files.sheet_faults(texts, grain.SHEET_COLUMNS, required=grain.SHEET_COLUMNS)
+
+
+@query(
+    "mixed_sheets",
+    """
+SELECT CAST(o_orderkey AS VARCHAR) AS file_path, CAST(o_orderkey AS VARCHAR) AS value,
+       CAST(line_no AS INTEGER) AS line_no
+FROM orders CROSS JOIN range(2, 4) r(line_no) WHERE o_orderkey % 6 = 0
+""",
+)
+def mixed_sheets(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the good sheets among bad ones."""
+    rows = files.sheet_rows(
+        _mixed_sheets(spark, folder), grain.SHEET_COLUMNS, required=grain.SHEET_COLUMNS, skip_bad=True
+    )
+    return rows.select("file_path", F.col("Value").alias("value"), "line_no")
+
+
 def _reports(spark: SparkSession, folder: str) -> DataFrame:
     """A slaughter report of 52 lines per customer, with the decimal comma."""
     plain = F.translate(F.format_number("c_acctbal", 2), ",", "")

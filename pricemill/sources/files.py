@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from pricemill.functions.text import snake_name, strip
 from pricemill.operators.ordered import top_per_group
+from pricemill.operators.shape import computed_once
 
 BAD_RECORD = "_bad_record"
 
@@ -107,6 +108,8 @@ WIDTH = 32
 # A field, whose quotes may hold commas and line breaks, and a record of fields.
 FIELD = r'(?:"(?:[^"]++|"")*+"[^,\r\n]*+|[^,\r\n]*+)'
 RECORD = rf"({FIELD}(?:,{FIELD})*+)(?:\r\n|\r|\n|\z)"
+# Fixed value: a comma, and a field that is quoted from end to end or has no quotes.
+CLEAN_FIELD = r',("(?:[^"]++|"")*+"|[^",]*+)'
 # Fixed value: a field whose quotes don't end on the line.
 OPEN_QUOTE = r'^(?:"(?:[^"]++|"")*+"[^,]*+,|[^",][^,]*+,|,)*+"(?:[^"]++|"")*+$'
 _CSV_SCHEMA = ", ".join(f"c{i} string" for i in range(WIDTH))
@@ -123,52 +126,105 @@ def records_of(text: Column) -> Column:
 
 
 def _parsed(record: Column) -> Column:
-    """Fields of a record as a struct, by Spark's CSV parser."""
-    return F.from_csv(record, _CSV_SCHEMA, {"escape": '"', "mode": "PERMISSIVE"})
+    """Fields of any record, by Spark's CSV parser."""
+    parsed = F.from_csv(record, _CSV_SCHEMA, {"escape": '"', "mode": "PERMISSIVE"})
+    return bound(parsed, lambda p: F.array(*[p[f"c{i}"] for i in range(WIDTH)]))
 
 
-def _values(parsed: Column) -> Column:
-    return F.array(*[parsed[f"c{i}"] for i in range(WIDTH)])
+def _unquoted(field: Column) -> Column:
+    inner = F.replace(F.substring(field, F.lit(2), F.length(field) - 2), F.lit('""'), F.lit('"'))
+    return F.when(field.startswith('"'), inner).otherwise(field)
 
 
 def _fields(record: Column) -> Column:
-    """Fields of a record as an array."""
-    return bound(_parsed(record), _values)
+    """Fields of a record as an array; an empty one is NULL or empty.
+
+    Each record takes the cheapest way that is right for it: without quotes, the commas; if a pattern
+    of fields quoted from end to end leaves nothing between its matches, that; else Spark's CSV parser.
+    All give the same fields.
+    """
+    found = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(CLEAN_FIELD), F.lit(1))
+    quoted = bound(
+        found,
+        lambda fields: F.when(
+            F.array_join(fields, ",") == record, F.transform(fields, _unquoted)
+        ).otherwise(_parsed(record)),
+    )
+    return F.when(~F.contains(record, F.lit('"')), F.split(record, ",")).otherwise(quoted)
 
 
 def _column_names(header: Column) -> Column:
-    """``snake_name`` of each field of a header; runs of blanks are found once for all of them."""
-    even = F.lower(F.regexp_replace(header, r"(?U)\s+", " "))
-    return F.transform(_fields(even), lambda f: F.replace(strip(f), F.lit(" "), F.lit("_")))
+    """``snake_name`` of each field of a header; runs of blanks are found once for all of them, and
+    only in headers that have other blanks than single spaces."""
+    odd = header.rlike(r"[^\x20-\x7e]|  ")
+    even = F.lower(F.when(odd, F.regexp_replace(header, r"(?U)[\s\x1c-\x1f]+", " ")).otherwise(header))
+    return F.transform(_fields(even), lambda f: F.replace(F.trim(f), F.lit(" "), F.lit("_")))
 
 
-def _places(
-    header: Column, names: Sequence[str], required: Sequence[str], file: Column
-) -> Column:
-    """Position of each named column in a header record (from 1, 0 if the sheet lacks it).
+def _places(header: Column, names: Sequence[str]) -> Column:
+    """Position of each named column in a header record: from 1, 0 if the sheet lacks it.
 
-    Names are compared without regard to case and blanks. A sheet that lacks a required column,
-    or is too wide, is an error that names its file: its rows would be lost otherwise.
+    Names are compared without regard to case and blanks.
     """
     wanted = F.array(*[F.lit(snake_name(n)) for n in names])
-    needed = [list(names).index(n) for n in required]
-
-    def checked(found: Column) -> Column:
-        lacking = F.lit(False)
-        for i in needed:
-            lacking = lacking | (F.get(found, i) == 0)
-        text = F.concat(F.lit("the sheet lacks a column: "), file)
-        return F.when(lacking, F.raise_error(text).cast("array<bigint>")).otherwise(found)
-
     found = bound(
         _column_names(header),
         lambda own: F.transform(wanted, lambda n: F.coalesce(F.array_position(own, n), F.lit(0))),
     )
+    return F.coalesce(found, F.transform(wanted, lambda _: F.lit(0).cast("bigint")))
+
+
+def _fault(
+    header: Column, places: Column, names: Sequence[str], required: Sequence[str]
+) -> Column:
+    """What is wrong with a header: it is too wide, or lacks a required column. NULL if nothing is, or
+    if there is no header."""
     fields = F.regexp_count(header, F.lit(f"{FIELD}(?:,|$)"))
-    wide = F.raise_error(F.concat(F.lit("the sheet is too wide: "), file)).cast("array<bigint>")
-    some = F.when(fields > WIDTH + 1, wide).otherwise(bound(found, checked))
-    none = F.transform(wanted, lambda _: F.lit(0).cast("bigint"))
-    return F.when(header.isNull(), none).otherwise(some)
+    lacking = [
+        F.when(F.get(places, list(names).index(n)) == 0, F.lit(n)) for n in required
+    ]
+    lacks = F.nullif(F.concat_ws(", ", *lacking), F.lit(""))
+    return F.when(fields > WIDTH + 1, F.lit("the sheet is too wide")).when(
+        header.isNotNull(), F.concat(F.lit("the sheet lacks a column: "), lacks)
+    )
+
+
+def _checked(
+    df: DataFrame, head: Column, columns: Sequence[str], required: Sequence[str], skip_bad: bool
+) -> DataFrame:
+    """Sheets with the positions ``_at`` of their columns. A bad header is an error that names its file,
+    as the file's rows would be lost otherwise; or, if the caller says so, its file is left out."""
+    df = df.withColumn("_at", _places(head, columns))
+    fault = _fault(head, F.col("_at"), columns, required)
+    if skip_bad:
+        return computed_once(df.withColumn("_fault", fault)).filter("_fault IS NULL").drop("_fault")
+    text = F.concat(fault, F.lit(": "), F.col("file_path"))
+    stop = F.raise_error(text).cast("array<bigint>")
+    return df.withColumn("_at", F.when(fault.isNotNull(), stop).otherwise(F.col("_at")))
+
+
+def sheet_faults(
+    texts: DataFrame,
+    columns: Sequence[str],
+    title_lines: int = 1,
+    required: Sequence[str] = (),
+) -> DataFrame:
+    """(file_path, fault) of the sheets that the readers leave out with ``skip_bad``, and of those that
+    have no rows: the files to look at, while the others are loaded. Spark doesn't read files of no
+    bytes, so those are not listed."""
+    lines = F.col("_lines")
+    head = F.get(lines, title_lines)
+    sheets = texts.select("file_path", "text", records_of(F.col("text")).alias("_lines"))
+    sheets = sheets.withColumn("_at", _places(head, columns))
+    filled = F.filter(F.slice(lines, title_lines + 2, F.size(lines)), lambda r: F.translate(r, ", ", "") != "")
+    fault = (
+        F.when(F.coalesce(strip("text"), F.lit("")) == "", F.lit("the sheet is empty"))
+        .when(F.coalesce(strip(head), F.lit("")) == "", F.lit("the sheet has no header"))
+        .otherwise(_fault(head, F.col("_at"), columns, required))
+    )
+    fault = F.coalesce(fault, F.when(F.size(filled) == 0, F.lit("the sheet has no rows")))
+    judged = computed_once(sheets.select("file_path", fault.alias("fault")))
+    return judged.filter("fault IS NOT NULL")
 
 
 def _rows(df: DataFrame, columns: Sequence[str], kept: Sequence[str]) -> DataFrame:
@@ -191,20 +247,22 @@ def sheet_rows(
     title_lines: int = 1,
     keep: Sequence[str] = (),
     required: Sequence[str] = (),
+    skip_bad: bool = False,
 ) -> DataFrame:
     """Rows of sheets: title lines are skipped, the next line is the header, the rest are rows.
 
     Columns are matched by header name per file, so files may differ in their columns. The
     result has ``file_path``, ``line_no`` (0-based record of the file), the columns ``keep`` and
-    the named columns as text. A sheet without rows adds none. No shuffle: a file's header and
-    rows are in one record until the lines are exploded.
+    the named columns as text. A sheet without rows adds none. One that lacks a required column, or
+    is too wide, stops the job, or is left out with ``skip_bad``: ``sheet_faults`` lists those.
+    No shuffle: a file's header and rows are in one record until the lines are exploded.
     """
     lines = F.col("_lines")
     head = F.get(lines, title_lines)
     body = F.slice(lines, title_lines + 2, F.greatest(F.size(lines), F.lit(0)))
+    files = texts.select("file_path", *keep, records_of(F.col("text")).alias("_lines"))
     rows = (
-        texts.select("file_path", *keep, records_of(F.col("text")).alias("_lines"))
-        .withColumn("_at", _places(head, columns, required, F.col("file_path")))
+        _checked(files, head, columns, required, skip_bad)
         .select(
             "file_path",
             *keep,
@@ -225,6 +283,7 @@ def dated_sheet_rows(
     title_lines: int = 1,
     keep: Sequence[str] = (),
     required: Sequence[str] = (),
+    skip_bad: bool = False,
 ) -> DataFrame:
     """Sheet rows with the text of the section header above them.
 
@@ -232,7 +291,7 @@ def dated_sheet_rows(
     text, one group) finds its text in the field of ``section_column``; such text in other fields
     means nothing. A file's records are cut at its headers while they are in one array, so
     nothing has to be carried between rows: no window, no shuffle. Rows above the first header
-    get NULL; header records go.
+    get NULL; header records go. Bad sheets are as in ``sheet_rows``.
     """
     place = F.get("_at", list(columns).index(section_column)).cast("int") - 1
 
@@ -246,11 +305,8 @@ def dated_sheet_rows(
 
     head = F.get("_lines", title_lines)
     body = F.slice("_lines", title_lines + 2, F.greatest(F.size("_lines"), F.lit(0)))
-    files = (
-        texts.select("file_path", *keep, records_of(F.col("text")).alias("_lines"))
-        .withColumn("_at", _places(head, columns, required, F.col("file_path")))
-        .withColumn("_body", body)
-    )
+    files = texts.select("file_path", *keep, records_of(F.col("text")).alias("_lines"))
+    files = _checked(files, head, columns, required, skip_bad).withColumn("_body", body)
     marks = F.filter(
         F.transform("_body", lambda r, i: mark(i, found(r))), lambda m: m["text"].isNotNull()
     )
@@ -289,6 +345,7 @@ def long_sheet_rows(
     title_lines: int = 1,
     keep: Sequence[str] = (),
     required: Sequence[str] = (),
+    skip_bad: bool = False,
 ) -> DataFrame:
     """Sheet rows from ``read_lines``, for sheets too long for one record.
 
@@ -309,12 +366,9 @@ def long_sheet_rows(
             F.max("line_id").alias("_head_id"),
             F.max_by("line", "line_id").alias("_head"),
         )
-        .select(
-            "file_path",
-            "_head_id",
-            _places(F.col("_head"), columns, required, F.col("file_path")).alias("_at"),
-        )
     )
+    heads = _checked(heads, F.col("_head"), columns, required, skip_bad)
+    heads = heads.select("file_path", "_head_id", "_at")
     broken = F.raise_error(
         F.concat(F.lit("a quoted field goes on in the next line: "), F.col("file_path"))
     ).cast("string")

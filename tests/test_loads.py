@@ -1,5 +1,6 @@
 """Sheets with awkward text, repeated loads, pruned reads: what must not lose rows."""
 
+import random
 from datetime import date
 
 import pytest
@@ -194,3 +195,59 @@ def test_the_catalog_query_leaves_real_tables_alone(spark, small):
     assert [r["class"] for r in spark.table(name).collect()] == ["K"]
     assert not [t for t in spark.catalog.listTables() if t.name.startswith(f"{name}_")]
     spark.sql(f"DROP TABLE {name}")
+
+
+def records(dice, n):
+    odd = ["".join(dice.choices('ab",,"  \n\té', k=dice.randrange(14))) for _ in range(n)]
+    fields = ["", "a", '""', '"x,y"', '"a""b"', " c ", '"\n"', '"\r\n"', '""""', 'x"', '"y" ']
+    return odd + [",".join(dice.choices(fields, k=dice.randrange(1, 9))) for _ in range(n)]
+
+
+def test_records_have_the_fields_that_the_csv_parser_finds(spark):
+    lines = records(random.Random(8), 3000)
+    frame = spark.createDataFrame([(x,) for x in lines], "r string")
+    both = frame.select("r", files._fields(F.col("r")).alias("a"), files._parsed(F.col("r")).alias("b"))
+
+    def even(values):
+        values = [v or None for v in values]
+        while values and values[-1] is None:
+            values.pop()
+        return values
+
+    for row in both.collect():
+        assert even(row.a) == even(row.b), row.r
+
+
+def test_bad_sheets_stay_out_while_the_others_load(spark, tmp_path):
+    row = "15 May 23 G,1,1,1,1,1,1,1,1,7,2,5,,08/05/2023"
+    sheets = {
+        "good.csv": f"title\n{GRAIN_HEAD}\n{row}\n",
+        "lacks.csv": f"title\n{GRAIN_HEAD.replace('Bid', 'Bit')}\n{row}\n",
+        "wide.csv": f"title\n{GRAIN_HEAD}{',x' * 40}\n{row}\n",
+        "empty.csv": " \n",
+        "bare.csv": f"title\n{GRAIN_HEAD}\n,,,\n",
+        "headless.csv": "title\n",
+    }
+    for name, text in sheets.items():
+        write(tmp_path, name, text)
+    markets = spark.createDataFrame(
+        [(name, "A", "1", "t") for name in sheets],
+        "file_name string, market_name string, market_code string, market_type string",
+    )
+    rows = grain.read_sheets(spark, str(tmp_path), markets, skip_bad=True)
+    assert [r.deals for r in grain.clean(rows).collect()] == [7]
+    faults = {r.file_path.rsplit("/", 1)[1]: r.fault for r in grain.sheet_faults(spark, str(tmp_path)).collect()}
+    assert faults == {
+        "lacks.csv": "the sheet lacks a column: Bid",
+        "wide.csv": "the sheet is too wide",
+        "empty.csv": "the sheet is empty",
+        "bare.csv": "the sheet has no rows",
+        "headless.csv": "the sheet has no header",
+    }
+    lines = files.read_lines(spark, str(tmp_path))
+    long = files.long_sheet_rows(
+        lines, grain.SHEET_COLUMNS, required=grain.SHEET_COLUMNS, skip_bad=True
+    )
+    assert [r.Deals for r in long.collect()] == ["7"]
+    with pytest.raises(Exception, match="the sheet (lacks|is too wide)"):
+        grain.read_sheets(spark, str(tmp_path), markets).collect()
