@@ -209,9 +209,13 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def month_of(day: str | None) -> Column:
+def is_dated(rows: DataFrame, day: str | None) -> bool:
+    return day is not None and isinstance(rows.schema[day].dataType, DATED)
+
+
+def month_of(rows: DataFrame, day: str | None) -> Column:
     """A key's month; one for all where there is no date."""
-    first = F.trunc(F.col(day), "month") if day else F.lit(None)
+    first = F.trunc(F.col(day), "month") if is_dated(rows, day) else F.lit(None)
     return F.coalesce(first.cast("date"), F.lit("0001-01-01").cast("date"))
 
 
@@ -236,8 +240,8 @@ def with_key_bits(rows: DataFrame, path: str, entry: Entry, keys: Sequence[str])
 
 def months(rows: DataFrame, day: str | None, *by: str) -> list[Row]:
     """The months of some rows: how many they are, and their first and last day."""
-    on = F.col(day).cast("date") if day else F.lit(None).cast("date")
-    found = rows.groupBy(*by, month_of(day).alias("month")).agg(
+    on = F.col(day).cast("date") if is_dated(rows, day) else F.lit(None).cast("date")
+    found = rows.groupBy(*by, month_of(rows, day).alias("month")).agg(
         F.count("*").alias("rows"), F.min(on).alias("first"), F.max(on).alias("last")
     )
     return found.collect()
@@ -272,7 +276,7 @@ def may_hold(
     ``day`` is one of the keys, or None. Bits are read of versions that share a month with the rows,
     and rows of none. ``rows`` are read twice, so they should be kept.
     """
-    wanted = {r[0] for r in rows.select(month_of(day)).distinct().collect()}
+    wanted = {r[0] for r in rows.select(month_of(rows, day)).distinct().collect()}
     near = [e for e in entries if any(m["month"] in wanted for m in e.months)]
     if not near:
         return []
@@ -284,7 +288,7 @@ def may_hold(
         if m["month"] in wanted
     ]
     listed = small_frame(spark, shared, "version bigint, blocks bigint, month date")
-    hashed = rows.select(key_hash(keys).alias("h"), month_of(day).alias("month"))
+    hashed = rows.select(key_hash(keys).alias("h"), month_of(rows, day).alias("month"))
     block, bits = _places("h", "blocks")
     asked = hashed.join(F.broadcast(listed), "month").select(
         VERSION, block.alias("block"), bits.alias("places")
@@ -316,8 +320,7 @@ def write_rows(
     """Write rows with their ``state`` as a version: a folder of each state and year, and files in the
     order of the days. ``dealt`` rows have the partitions that they should have. What an attempt
     before has left there goes."""
-    dated = day is not None and isinstance(rows.schema[day].dataType, DATED)
-    rows = rows.withColumn(YEAR, F.year(day) if dated else F.lit(None).cast("int"))
+    rows = rows.withColumn(YEAR, F.year(day) if is_dated(rows, day) else F.lit(None).cast("int"))
     rows = rows if dealt else rows.hint("rebalance", STATE, YEAR)
     rows = rows.sortWithinPartitions(STATE, YEAR, *([day] if day else []))
     rows.write.mode("overwrite").partitionBy(STATE, YEAR).parquet(f"{path}/{VERSION}={version}")
