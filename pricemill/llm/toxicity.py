@@ -1,10 +1,11 @@
 """Toxicity scores by a recurrent network over words and their characters, trained in numpy."""
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
@@ -16,30 +17,36 @@ from pricemill.llm.common import pick
 #: A word is a run of letters, digits and underscores; long ones are cut.
 WORD = re.compile(r"\w{1,12}")
 #: Words of a window, and from one window to the next.
-WINDOW, STEP = 32, 24
+WINDOW, STEP = 32, 16
 #: Words with a vector of their own, buckets of characters, and widths of the layers.
 VOCABULARY, CHAR_BUCKETS = 1 << 14, 256
 WORD_WIDTH, CHAR_WIDTH, CHAR_STATE, STATE, ATTENTION = 8, 8, 8, 12, 16
-#: The bounded sample that the network learns from: documents of each label, windows of each.
-TOXIC_DOCUMENTS, CLEAN_DOCUMENTS, SAMPLED_WINDOWS = 1200, 2400, 24
+#: The bounded sample that the network learns from: documents of each label, with all their windows.
+TOXIC_DOCUMENTS, CLEAN_DOCUMENTS = 1200, 2400
 UPDATES, BATCH, RATE = 900, 66, 0.01
 #: Small samples get fewer updates: so many times through their windows.
 ROUNDS, FEWEST_UPDATES = 12, 200
 #: Documents of the sample that a word, or a start of so many letters, must be in to count.
 SHARED_BY = 3
-STEM = 4
+STEMS = (3, 4, 5, 6)
+#: How telling a word must be to be a hint, and to stay in toxic windows.
+HINT, TELLING = 0.25, 0.15
 #: Documents' worth of doubt whether a word in toxic ones only is so by chance.
 DOUBT = 6
 #: Telling words that are added to each batch, and half the number of clean documents' words.
 HINTS = 100
 #: Share of the other words that stay in toxic windows.
-KEPT = 0.1
+KEPT = 0.8
 #: Share of words taken as unknown in training, and after which shares of the updates windows are
 #: relabelled.
 FORGOTTEN = 0.3
 RELABELLED = (0.28, 0.44, 0.61, 0.78, 0.89)
 #: Clean windows that are scored then; the highest twentieth of them come up more often.
 MINED = 8000
+#: Of each label, one in so many documents of the sample serves to calibrate the scores only.
+APART = 4
+#: How far the two labels count alike when scores are fitted to them: 0 not at all, 1 in full.
+BALANCE = 0.5
 #: Distinct words whose inputs a task remembers at most.
 REMEMBERED = 120_000
 #: Windows that are scored at once.
@@ -165,14 +172,13 @@ def _both(inputs, state, mask, keep):
 
 def characters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(step, word) numbers of characters, and where there are any."""
-    longest = max(map(len, words), default=1)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    longest = int(sizes.max(initial=1))
+    mask = np.arange(longest)[:, None] < sizes
     numbers = np.zeros((longest, len(words)), np.int64)
-    mask = np.zeros((longest, len(words)), np.float32)
-    for k, word in enumerate(words):
-        codes = [ord(c) % CHAR_BUCKETS for c in word]
-        numbers[: len(codes), k] = codes
-        mask[: len(codes), k] = 1
-    return numbers, mask
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+    numbers.T[mask.T] = codes % CHAR_BUCKETS
+    return numbers, mask.astype(np.float32)
 
 
 def word_inputs(net: Network, words: list[str]) -> np.ndarray:
@@ -258,6 +264,8 @@ def gradients(net: Network, words: list[str], known, telling, places, sizes, lab
     d_states = d_states + (_flat(d_hidden) @ net.attention.T).reshape(d_states.shape)
     hinted = _sigmoid(features @ net.hint + net.hint_bias)
     weight = np.where(telling > 0.5, 1.0, 0.3)
+    told = telling * np.log(hinted + 1e-9) + (1 - telling) * np.log(1 - hinted + 1e-9)
+    loss -= (told * weight).sum() / weight.sum()
     d_hint = ((hinted - telling) * weight / weight.sum()).astype(np.float32)
     d["hint"] = features.T @ d_hint
     d["hint_bias"] = d_hint.sum(keepdims=True)
@@ -312,28 +320,35 @@ def _places(listed: list[list[str]]) -> tuple[list[str], np.ndarray, np.ndarray]
     return list(number), places, np.array([len(words) for words in listed])
 
 
+def _stems(word: str) -> list[str]:
+    """How a word begins, marked as such."""
+    return ["^" + word[:n] for n in STEMS if len(word) >= n]
+
+
 def train(windows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network | None:
     """A network from (document, label, words) windows; None unless there are both labels.
 
-    A label is of a whole document, and few of a toxic one's windows are toxic. At first each window
-    has its document's label; clean windows, which both kinds of document have, come out as
-    uncertain. Later a toxic document's windows take part only if they score above a half, or
-    highest within it.
+    A label is of a whole document, and few of a toxic one's windows are toxic. Those count as toxic
+    that have a word, or a start of a word, which tells toxic documents from clean ones; if a document
+    has none, all its windows do at first. Later those that score above a half, or highest within their
+    document, are added; others take no part.
 
     Words that clean documents have as well say nothing about toxicity by themselves, but a network
-    could learn a window by heart from them; in toxic windows words of clean ones stand in for most
+    could learn a window by heart from them; in toxic windows words of clean ones stand in for some
     of them, new ones each time. Beside the labels, the words' inputs are trained to
     foretell which words toxic documents have to themselves. Some words are taken as unknown, so
     that the characters have to do. Last, the logits are scaled and shifted so that those of the
-    documents' highest windows come out as probabilities.
+    highest windows of documents kept apart come out as probabilities, the rarer label counting more.
     """
     labels = np.array([label for _, label, _ in windows], np.float32)
     if not 0 < labels.sum() < len(labels):
         return None
+    windows, apart = _parted(windows, seed)
+    labels = np.array([label for _, label, _ in windows], np.float32)
     random = np.random.default_rng(seed)
     n_in, n_toxic = Counter(), Counter()
     for _, label, words in _by_document(windows):
-        both = words | {"^" + word[:STEM] for word in words}
+        both = words | {stem for word in words for stem in _stems(word)}
         n_in.update(both)
         if label:
             n_toxic.update(both)
@@ -345,14 +360,19 @@ def train(windows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network |
     def telling(word: str) -> float:
         """How far a word, or how it begins, is from being as usual in clean documents: 0 to 1."""
         most = 0.0
-        for key in (word, "^" + word[:STEM]):
+        for key in (word, *_stems(word)):
             if n_in[key] >= SHARED_BY:
                 share = (n_toxic[key] + DOUBT * usual) / (n_in[key] + DOUBT)
                 most = max(most, (share - usual) / (1 - usual))
         return most
 
-    evidence = sorted(w for w in n_toxic if w[0] != "^" and telling(w) > 0.5)
+    telling = functools.cache(telling)
+    evidence = sorted(w for w in n_toxic if w[0] != "^" and telling(w) > HINT)
     others = np.array([word for _, label, words in windows if not label for word in words])
+    told = np.array([l > 0 and any(telling(w) > HINT for w in ws) for _, l, ws in windows])
+    plain = {document for document, _, _ in windows}
+    plain -= {windows[k][0] for k in np.flatnonzero(told)}
+    labels[[l > 0 and not t and d not in plain for (d, l, _), t in zip(windows, told, strict=True)]] = -1
 
     def words_of(k: int) -> list[str]:
         words = windows[k][2]
@@ -360,7 +380,7 @@ def train(windows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network |
             swaps = random.choice(others, len(words)).tolist()
             keep = random.random(len(words)) < KEPT
             words = [
-                w if k or telling(w) > 0.3 else s for w, s, k in zip(words, swaps, keep, strict=True)
+                w if k or telling(w) > TELLING else s for w, s, k in zip(words, swaps, keep, strict=True)
             ]
         return words
 
@@ -371,7 +391,7 @@ def train(windows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network |
     relabelled = {int(share * updates) for share in RELABELLED}
     for update in range(1, updates + 1):
         if update in relabelled:
-            labels = _relabelled(net, windows, labels)
+            labels = _relabelled(net, windows, labels, told)
             some = random.choice(clean, min(len(clean), MINED), replace=False)
             hard = some[np.argsort(-_scores(net, windows, some))[: max(len(some) // 20, 1)]]
         toxic = np.flatnonzero(labels == 1)
@@ -395,7 +415,22 @@ def train(windows: list[tuple[int, int, list[str]]], seed: int = 7) -> Network |
             step = first[name] / (1 - 0.9**update)
             scale = np.sqrt(second[name] / (1 - 0.99**update)) + 1e-6
             setattr(net, name, (getattr(net, name) - rate * step / scale).astype(np.float32))
-    return _calibrated(net, windows)
+    return _calibrated(net, apart)
+
+
+def _parted(windows, seed: int) -> tuple[list, list]:
+    """Windows to learn from, and those of every APART-th document of each label, for the calibration:
+    on documents that the network has learned from it would be too sure. One document of a label is
+    for both."""
+    documents: dict[int, list[int]] = {0: [], 1: []}
+    for document, label, _ in _by_document(windows):
+        documents[label].append(document)
+    learned, apart = set(), set()
+    for some in documents.values():
+        some = np.random.default_rng(seed).permutation(some).tolist()
+        apart.update(some[::APART])
+        learned.update(some if len(some) == 1 else [d for k, d in enumerate(some) if k % APART])
+    return [w for w in windows if w[0] in learned], [w for w in windows if w[0] in apart]
 
 
 def _calibrated(net: Network, windows) -> Network:
@@ -408,11 +443,13 @@ def _calibrated(net: Network, windows) -> Network:
         label[document] = value
     x = np.array([[highest[k], 1.0] for k in highest])
     y = np.array([label[k] for k in highest], float)
+    share = y.mean()
+    counted = np.where(y == 1, (1 - share) / share, 1.0) ** BALANCE
     weights = np.array([1.0, 0.0])
     for _ in range(25):
         p = _sigmoid(x @ weights)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag([0.1, 0.01])
-        step = np.linalg.solve(hessian, x.T @ (p - y) + [0.1 * (weights[0] - 1), 0.0])
+        hessian = (x * (counted * p * (1 - p))[:, None]).T @ x + np.diag([0.1, 0.01])
+        step = np.linalg.solve(hessian, x.T @ (counted * (p - y)) + [0.1 * (weights[0] - 1), 0.0])
         weights -= np.clip(step, -1, 1)
     net.out = (net.out * weights[0]).astype(np.float32)
     net.out_bias = (net.out_bias * weights[0] + weights[1]).astype(np.float32)
@@ -436,9 +473,9 @@ def _scores(net: Network, windows, chosen: np.ndarray) -> np.ndarray:
     )
 
 
-def _relabelled(net: Network, windows, labels: np.ndarray) -> np.ndarray:
-    """Of each toxic document, windows that score above a half, and the highest, stay toxic (1);
-    the others take no part (-1)."""
+def _relabelled(net: Network, windows, labels: np.ndarray, told: np.ndarray) -> np.ndarray:
+    """Of each toxic document, windows with a telling word, those that score above a half, and the
+    highest are toxic (1); the others take no part (-1)."""
     toxic = np.array([k for k, (_, label, _) in enumerate(windows) if label])
     scores = _scores(net, windows, toxic)
     best: dict[int, tuple[float, int]] = {}
@@ -447,7 +484,7 @@ def _relabelled(net: Network, windows, labels: np.ndarray) -> np.ndarray:
         if document not in best or score > best[document][0]:
             best[document] = score, at
     labels = labels.copy()
-    labels[toxic] = np.where(scores > 0, 1, -1)
+    labels[toxic] = np.where((scores > 0) | told[toxic], 1, -1)
     labels[[at for _, at in best.values()]] = 1
     return labels
 
@@ -485,7 +522,7 @@ class Scorer:
         best = np.full(len(texts), -np.inf)
         if sum(map(len, listed)) == 0:
             return np.zeros(len(texts))
-        flat = np.fromiter((n for words in listed for n in map(number, words)), np.int64)
+        flat = np.array(list(map(number, chain.from_iterable(listed))), np.int64)
         firsts = np.cumsum([0] + [len(words) for words in listed])[:-1]
         owner = np.repeat(np.arange(len(texts)), [len(s) for s in starts])
         at = np.concatenate(starts) + firsts[owner]
@@ -505,7 +542,7 @@ class Scorer:
 def sampled_windows(
     rows: DataFrame, labels: DataFrame, toxic: int, clean: int
 ) -> list[tuple[int, int, list[str]]]:
-    """Windows of a bounded sample of labelled documents: those with the smallest hashes."""
+    """All windows of a bounded sample of labelled documents: those with the smallest hashes."""
     labels = labels.dropna().filter("label IN (0, 1)").distinct()
     chosen = {}
     for label, n in ((1, toxic), (0, clean)):
@@ -514,21 +551,19 @@ def sampled_windows(
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for key, text in zip(batch["id"], batch["text"], strict=True):
-                words = WORD.findall(text.lower()) if isinstance(text, str) else []
-                starts = window_starts(len(words))
-                some = np.unique(np.linspace(0, len(starts) - 1, SAMPLED_WINDOWS).astype(int))
-                found += [
-                    (key, " ".join(words[starts[k] : starts[k] + WINDOW]))
-                    for k in some[: len(starts)]
-                ]
-            yield pd.DataFrame(found, columns=["id", "window"])
+            texts = [WORD.findall(t.lower()) if isinstance(t, str) else [] for t in batch["text"]]
+            yield pd.DataFrame({"id": batch["id"], "words": [" ".join(words) for words in texts]})
 
     of = rows.filter(F.col("id").isin(list(chosen))).select("id", "text")
-    found = of.mapInPandas(cut, "id bigint, window string").collect()
-    found = sorted({(row["id"], row["window"]) for row in found})
-    return [(key, chosen[key], window.split(" ")) for key, window in found]
+    found = of.mapInPandas(cut, "id bigint, words string").distinct().collect()
+    windows = []
+    for row in sorted(found):
+        words = row["words"].split()
+        windows += [
+            (row["id"], chosen[row["id"]], words[k : k + WINDOW])
+            for k in window_starts(len(words)).tolist()
+        ]
+    return windows
 
 
 def scored(
@@ -543,8 +578,8 @@ def scored(
 ) -> DataFrame:
     """(id, score) of each row: the highest of its windows' probabilities of being toxic.
 
-    The network is fitted on at most so many labelled documents of each kind, and then reads every
-    window of every text: words of 32 at a time, 8 of them shared with the next. A word's input is
+    The network is fitted on all windows of at most so many labelled documents of each kind, and then
+    reads every window of every text: 32 words, half of them shared with the next. A word's input is
     a vector (of frequent words) and the end states of a two-way gated recurrent network over its
     characters; the words' states, from a second such network, are pooled by attention. Distinct words go
     through the characters' network once a task.

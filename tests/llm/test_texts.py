@@ -524,30 +524,81 @@ def test_gradients_like_differences():
         return toxicity.gradients(net, listed, known, telling, places, sizes, labels)
 
     _, gradient = loss()
-    for name in ("chars", "char_state", "word_in", "word_state", "attention", "out", "out_bias"):
+    for name in toxicity.LEARNED:
         weights, analytic = getattr(net, name), gradient[name]
         at = np.unravel_index(np.argmax(np.abs(analytic)), analytic.shape)
-        before, step = weights[at], 1e-4
-        hinted = 0.0
+        before, step = weights[at], 4e-3
         weights[at] = before + step
         above = loss()[0]
         weights[at] = before - step
         below = loss()[0]
         weights[at] = before
-        if name in ("attention", "word_state", "out", "out_bias"):  # the hint doesn't reach these
-            assert abs((above - below) / (2 * step) - analytic[at] - hinted) < 1e-3
+        measured = (above - below) / (2 * step)
+        assert abs(measured - analytic[at]) < 1e-3 + 0.02 * abs(measured), name
+
+
+def plain_logit(net, words):
+    """The network over one window, a number at a time."""
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def step(state, given, weights):
+        width = len(state)
+        inner = state @ weights
+        update = sigmoid(given[:width] + inner[:width])
+        reset = sigmoid(given[width : 2 * width] + inner[width : 2 * width])
+        candidate = np.tanh(given[2 * width :] + reset * inner[2 * width :])
+        return update * state + (1 - update) * candidate
+
+    features = []
+    for word in words:
+        ends = []
+        for d, letters in enumerate((word, word[::-1])):
+            state = np.zeros(toxicity.CHAR_STATE)
+            for c in letters:
+                vector = net.chars[ord(c) % toxicity.CHAR_BUCKETS]
+                state = step(state, vector @ net.char_in[d] + net.char_bias[d], net.char_state[d])
+            ends.append(state)
+        features.append(np.concatenate([*ends, net.words[net.vocabulary.get(word, 0)]]))
+    sides = []
+    for d, order in enumerate((features, features[::-1])):
+        state, states = np.zeros(toxicity.STATE), []
+        for x in order:
+            state = step(state, x @ net.word_in[d] + net.word_bias[d], net.word_state[d])
+            states.append(state)
+        sides.append(states if d == 0 else states[::-1])
+    states = [np.concatenate(both) for both in zip(*sides, strict=True)]
+    marks = [np.tanh(s @ net.attention + net.attention_bias) @ net.attention_out for s in states]
+    weights = np.exp(marks) / np.exp(marks).sum()
+    return sum(w * s for w, s in zip(weights, states, strict=True)) @ net.out + net.out_bias[0]
+
+
+def test_scores_are_the_networks_highest_window():
+    dice = random.Random(5)
+    words = ["".join(dice.choices("abcdeéß", k=dice.randrange(1, 15))) for _ in range(40)]
+    net = toxicity.Network.new(sorted(words[:20]), seed=2)
+    net.words[:] = np.random.default_rng(1).standard_normal(net.words.shape)
+    texts = [" ".join(dice.choices(words, k=n)) for n in (1, 5, 31, 32, 33, 90, 200)]
+    found = toxicity.Scorer(net).scores([None, *texts, " ,", ""])
+    assert found[0] == found[-1] == found[-2] == 0
+    for text, score in zip(texts, found[1:-2], strict=True):
+        cut = toxicity.WORD.findall(text)
+        last = max(len(cut) - toxicity.WINDOW, 0)
+        starts = {*range(0, last, toxicity.WINDOW // 2), last}
+        logit = max(plain_logit(net, cut[s : s + toxicity.WINDOW]) for s in starts)
+        assert abs(score - 1 / (1 + np.exp(-logit))) < 1e-4
 
 
 def test_toxicity_on_held_out_documents(spark, small):
-    folder = small.replace("0.001", "0.01")
+    folder = small.replace("0.001", "0.1")
     found = queries.op5_toxicity(spark, folder)
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
     rows = found.join(labels, "doc_id").collect()
-    learned = [r for r in rows if not r.held_out]
-    held = [r for r in rows if r.held_out]
-    assert sum(r.predicted == r.toxic for r in learned) > 0.95 * len(learned)
-    assert sum(r.predicted == r.toxic for r in held) > 0.85 * len(held)
     assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
+    for part in (True, False):
+        toxic = [r.predicted for r in rows if r.held_out == part and r.toxic == 1]
+        clean = [r.predicted for r in rows if r.held_out == part and r.toxic == 0]
+        assert sum(toxic) >= 0.9 * len(toxic)
+        assert sum(clean) <= 0.03 * len(clean)
 
 
 def test_toxicity_of_awkward_rows(spark, odd, none, awkward_rows):
