@@ -324,13 +324,28 @@ def keep_one(
     shingle: int = 4,
     radius: int = 4,
 ) -> DataFrame:
-    """The rows of one document of each group of near-duplicates: that with the smallest id.
+    """One row of each group of near-duplicates: that with the smallest id, rows without one last, ties
+    by a hash of the text. All columns are kept.
 
-    Rows without an id stay. Of rows equal in id and text one stays. All columns are kept.
+    Groups are of texts, whose fingerprints chain within the radius; ids only choose among their rows, so
+    rows without an id, or of one id with other texts, count like others. NULL and empty texts, and
+    those without a word, are one group. Of rows equal in id and text one stays, whatever their other
+    columns. An empty table gives an empty one.
     """
-    found = near_duplicates(df, id_column, text_column, shingle, radius)
-    gone = stored(
-        found.filter("component <> id").select(F.col("id").alias("_gone")).distinct(), "copies"
+    plain = df.toDF(*(f"_{k}" for k in range(len(df.columns))))  # names may differ in case alone
+    row_id, text = (f"_{df.columns.index(c)}" for c in (id_column, text_column))
+    plain = plain.withColumn("key", F.xxhash64(text))
+    prints = fingerprints(plain, "key", text, shingle).distinct()
+    prints = stored(prints.withColumnRenamed("id", "key"), "fingerprints")
+    classes = stored(prints.select("fp", F.col("fp").alias("rep")).distinct(), "classes")
+    found = connected_components(stored(links(classes, radius), "links"))
+    groups = prints.join(found, prints["fp"] == found["node"], "left").select(
+        "key", F.coalesce("component", "fp").alias("group")
     )
-    left = df.join(gone, F.col(id_column) == F.col("_gone"), "left_anti")
-    return left.dropDuplicates([id_column, text_column])
+    # the smallest id of each text, then of each group: copies are combined before they move
+    least = plain.groupBy("key").agg(F.min(F.struct(F.col(row_id).isNull(), row_id)).alias("id"))
+    firsts = groups.join(least, "key").groupBy("group").agg(F.min(F.struct("id", "key")).alias("f"))
+    stay = stored(firsts.select(F.col(f"f.id.{row_id}").alias("_id"), F.col("f.key").alias("_key")), "kept")
+    same = F.col(row_id).eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    left = plain.join(stay, same, "left_semi").dropDuplicates([row_id, "key"])
+    return left.drop("key").toDF(*df.columns)
