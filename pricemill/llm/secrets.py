@@ -27,8 +27,9 @@ BASE = 3
 EXAMPLE_WORDS = r"(?i)example|sample|dummy|test|change_?me|your|xxxx|0000|1234"
 #: Distinct characters that a live value has at least.
 LEAST_DISTINCT = 8
-#: Limits above which a value is widely copied, for corpora with copies of documents.
-WIDELY = {"max_owners": 5, "max_repositories": 5}
+#: Limits above which a value is widely copied, for corpora with copies of documents. An owner may have
+#: many repositories, so the second limit is the larger one.
+WIDELY = {"max_owners": 5, "max_repositories": 8}
 
 
 def _candidates(text: Column) -> Column:
@@ -85,7 +86,9 @@ def secrets(
     repositories of owners, have a value (by its SHA-256) tells copied examples from credentials:
     a value is widely copied if more than ``max_owners`` owners have it, in as many distinct texts, and
     more than ``max_repositories`` repositories, in as many distinct texts; so copies of one text
-    make no example. ``live`` says that it is not, and that it looks like a credential. Candidates of
+    make no example. A value of many owners is a credential all the same if it is in hardly more
+    repositories than owners, and one of few owners however many repositories they have it in; give the
+    second limit a larger value than the first, or it decides nothing. ``live`` says that it is not, and that it looks like a credential. Candidates of
     the added kind are listed only if live.
 
     NULL and empty texts have none. NULL owners and repositories count as values of their own.
@@ -98,8 +101,8 @@ def secrets(
     matches = rows.select(
         "id",
         F.xxhash64("text").alias("key"),
-        F.coalesce("owner", F.lit("")).alias("owner"),
-        F.coalesce("repository", F.lit("")).alias("repository"),
+        F.coalesce(F.concat(F.lit("="), "owner"), F.lit("")).alias("owner"),
+        F.coalesce(F.concat(F.lit("="), "repository"), F.lit("")).alias("repository"),
         F.inline(_candidates(F.col("text"))),
     )
     matches = stored(
