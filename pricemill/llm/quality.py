@@ -12,6 +12,8 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 #: Rows of (host, line) above the limits up to which they are sent to every task: 16 bytes each.
 BROADCAST_LINES = 1_000_000
+#: Lines of a host that a look-up goes through, about.
+BUCKET_LINES = 8
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -118,6 +120,22 @@ def frequent_lines(
     return stored(above.select("c.host", "line"), name)
 
 
+def _dealt(frequent: DataFrame) -> DataFrame:
+    """(host, shared): a host's lines as an array of arrays, each line in that of its hash modulo their
+    number, so that a look-up goes through a few lines only however many the host has."""
+    sizes = frequent.groupBy("host").agg(F.ceil(F.count("*") / BUCKET_LINES).alias("parts"))
+    every = sizes.select("host", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    own = frequent.alias("l").join(sizes.alias("s"), F.col("l.host").eqNullSafe(F.col("s.host")))
+    own = own.select("l.host", "line", F.pmod("line", F.col("parts")).alias("part"))
+    own = own.groupBy("host", "part").agg(F.collect_set("line").alias("lines")).alias("o")
+    match = F.col("e.host").eqNullSafe(F.col("o.host")) & (F.col("e.part") == F.col("o.part"))
+    filled = every.alias("e").join(own, match, "left").select(
+        "e.host", F.struct("e.part", F.coalesce("lines", F.array().cast("array<bigint>")).alias("lines")).alias("x")
+    )
+    parts = F.sort_array(F.collect_list("x"))
+    return filled.groupBy("host").agg(F.transform(parts, lambda x: x["lines"]).alias("shared"))
+
+
 def judged(
     rows: DataFrame,
     min_words: int,
@@ -131,7 +149,7 @@ def judged(
     frequent = frequent_lines(rows, min_documents, share)
     columns = rows.columns
     if frequent.count() <= broadcast_lines:
-        listed = F.broadcast(frequent.groupBy("host").agg(F.collect_set("line").alias("shared")))
+        listed = F.broadcast(_dealt(frequent))
         rows = rows.alias("r").join(
             listed.alias("f"), F.col("r.host").eqNullSafe(F.col("f.host")), "left"
         )
@@ -146,7 +164,8 @@ def judged(
             F.col("o.host").eqNullSafe(F.col("f.host")) & (F.col("o.line") == F.col("f.line")),
             "left_semi",
         )
-        own = own.groupBy("host", "document").agg(F.collect_set("line").alias("shared"))
+        own = own.groupBy("host", "document")
+        own = own.agg(F.array(F.collect_set("line")).alias("shared"))
         rows = rows.withColumn("document", F.xxhash64("text")).alias("r").join(
             own.alias("o"),
             F.col("r.host").eqNullSafe(F.col("o.host"))
@@ -157,7 +176,10 @@ def judged(
     text = F.coalesce(F.col("text"), F.lit(""))
     shared = lambda line: (
         F.length(F.btrim(line, F.lit(BLANK_CHARACTERS))) > 0
-    ) & F.array_contains("shared", line_hash(line))
+    ) & bound(
+        line_hash(line),
+        lambda h: F.array_contains(F.get("shared", F.pmod(h, F.size("shared")).cast("int")), h),
+    )
     parted = bound(
         F.split(text, "\n"),
         lambda lines: F.struct(
@@ -190,7 +212,7 @@ RULES = {
     "min_words": 20,
     "max_repeats": 0.3,
     "min_documents": 20,
-    "share": 0.1,
+    "share": 0.001,
     "min_left": 0.3,
     "broadcast_lines": BROADCAST_LINES,
 }
@@ -208,7 +230,8 @@ def quality(
 
     ``base_failed``: fewer words than ``min_words``, or more than ``max_repeats`` of them in
     repeated 8-word windows. Lines that at least ``min_documents`` distinct texts of a host have,
-    and at least ``share`` of all its texts, are shared lines; a document whose words outside
+    and at least ``share`` of all its texts, are shared lines (the share starts to count at hosts of
+    20,000 texts, where 20 may have a short line by chance); a document whose words outside
     them are under ``min_words``, or under ``min_left`` of all, is depleted. ``kept``: neither.
 
     NULL and empty texts have no words and fail. A NULL host is a host of its own. Rows that

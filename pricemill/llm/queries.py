@@ -87,7 +87,7 @@ WITH d AS (
 ), f AS (
   SELECT t.host, line FROM (
     SELECT coalesce(source, chr(0)) AS host, line, count(DISTINCT raw) AS n FROM l GROUP BY 1, 2) t
-  JOIN h ON h.host = t.host WHERE t.n >= 20 AND t.n >= 0.1 * h.n
+  JOIN h ON h.host = t.host WHERE t.n >= 20 AND t.n >= 0.001 * h.n
 ), sh AS (
   SELECT r, sum(n) AS n FROM l JOIN f ON f.host = coalesce(l.source, chr(0)) AND f.line = l.line
   GROUP BY r
