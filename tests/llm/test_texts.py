@@ -147,6 +147,37 @@ def test_near_duplicates_of_awkward_rows(odd, none, awkward_rows):
     assert simhash.keep_one(none).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    long = " ".join(f"word{k}" for k in range(60))
+    near, other = f"{long} and", " ".join(f"other{k}" for k in range(60))
+    alone = " ".join(f"alone{k}" for k in range(60))
+    apart = simhash.fingerprint(long, 4) ^ simhash.fingerprint(near, 4)
+    assert 0 < apart.bit_count() <= 30
+    rows = [
+        (7, long, "a", "x"),
+        (7, long, "b", "y"),  # equal in id and text, other columns differ
+        (7, near, "a", "x"),  # a near copy under the same id
+        (None, long, "a", "x"),  # an exact and a near copy without an id
+        (None, near, "a", "x"),
+        (3, near, "a", "x"),
+        (None, other, "a", "x"),  # the only one of its group, and its copy
+        (None, other, "b", "x"),
+        (7, alone, "a", "x"),  # another document of a known id
+        (20, None, "a", "x"),
+        (19, "", "a", "x"),
+        (None, None, "a", "x"),
+    ]
+    for schema in (
+        "doc_id bigint, text string, Text string, DOC_ID string",
+        "doc_id bigint, text string, lang string, source string",
+    ):
+        df = spark.createDataFrame(rows, schema).repartition(3)
+        kept = simhash.keep_one(df, radius=apart.bit_count())
+        assert kept.columns == df.columns
+        found = sorted(((r[0], r[1]) for r in kept.collect()), key=str)
+        assert found == sorted([(3, near), (None, other), (7, alone), (19, "")], key=str)
+
+
 # --- repeated passages --------------------------------------------------------------------
 
 
@@ -242,6 +273,29 @@ def test_lines_that_many_documents_share_go(spark, broadcast_lines):
     assert texts[0] == own(0) and 51 not in texts and texts[60] == f"{own(0)}\ncopied"
 
 
+@pytest.mark.parametrize("broadcast_lines", [0, 10_000])
+def test_hosts_of_many_shared_lines(spark, broadcast_lines):
+    dice = random.Random(9)
+    lines = [f"line {k} of the menu" for k in range(300)]
+    own = lambda k: " ".join(f"w{k}x{j}" for j in range(25))
+    rows = []
+    for k in range(90):
+        shown = dice.sample(lines, 100)
+        host = dice.choice(["a", None])
+        rows.append((k, "\n".join([own(k), *shown, f"only {k}"]), host))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    counts = {}
+    for _, text, host in rows:
+        for line in text.split("\n"):
+            counts[host, line] = counts.get((host, line), 0) + 1
+    rules = {"min_documents": 15, "broadcast_lines": broadcast_lines, "min_left": 0.0}
+    found = {r.doc_id: r.text for r in quality.keep_good(df, **rules).collect()}
+    for k, text, host in rows:
+        left = [line for line in text.split("\n") if counts[host, line] < 15]
+        assert found[k] == "\n".join(left)
+    assert 1 < len({line for (_, line), n in counts.items() if n >= 15}) < 320
+
+
 def test_pipeline_takes_lines_of_a_few_per_cent_of_a_large_host(spark):
     own = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
     rows = [(k, own(k) + "\nsubscribe now" * (k < 30), "a", 0) for k in range(1000)]
@@ -302,6 +356,32 @@ def test_owners_tell_copied_examples_from_live_secrets(spark):
     assert texts[9] == "key [secret] [example]" and texts[0] == f"see {copied} here"
 
 
+def test_each_limit_of_copies_decides_alone(spark):
+    values = {
+        (9, 1): "q7Zk2mVx9TbW4nRs8LcY3pHd",  # owners, repositories of each
+        (6, 1): "aB3dE6gH9jK2mN5pQ8rT1vW4",  # too few repositories
+        (5, 4): "zX9cV8bN7mK6jH5gF4dS3aP2",  # too few owners
+        (6, 2): "mN5bV4cX3zL2kJ1hG9fD8sA7",
+    }
+    rows = [
+        (100 * n + 10 * k + j, f"text {n} {k} {j} {value}", f"r{j}", f"owner{k}")
+        for n, ((owners, each), value) in enumerate(values.items())
+        for k in range(owners)
+        for j in range(each)
+    ]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    spans = {r.id: r.spans for r in secrets.scanned(df, **secrets.WIDELY).collect()}
+    live = [{bool(spans[r[0]]) for r in rows if r[0] // 100 == n} for n in range(4)]
+    assert live == [{False}, {True}, {True}, {False}]
+
+
+def test_no_owner_is_not_an_empty_one(spark):
+    value = "q7Zk2mVx9TbW4nRs8LcY3pHd"
+    rows = [(k, f"text {k} {value}", "r", owner) for k, owner in enumerate((None, "", "a"))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    assert secrets.scanned(df, max_owners=5).first().spans[0].owners == 3
+
+
 def test_copies_of_a_document_make_no_example(spark):
     twice, copied, wide = "q7Zk2mVx9TbW4nRs8LcY3pHd", "aB3dE6gH9jK2mN5pQ8rT1vW4", "zX9cV8bN7mK6jH5gF4dS3aP2"
     rows = [(k, f"own words {k} {twice}", "r", f"owner{k}") for k in range(2)]
