@@ -589,6 +589,60 @@ def test_many_contexts_share_no_counts():
         assert not lean[places[inside > 0]].any()  # no context of these has been seen
 
 
+def mixing_rows():
+    dice = random.Random(12)
+    words = ["".join(dice.choices("abcdeé", k=dice.randrange(1, 8))) for _ in range(80)]
+    text = lambda: " ".join(words[int(80 * dice.random() ** 2)] for _ in range(dice.randrange(90)))
+    rows = [(k, text(), k % 5 == 0) for k in range(60)]
+    rows += [(None, text(), False) for _ in range(30)] + [(7, text(), k % 2 == 0) for k in range(30)]
+    return rows + [(90, None, False), (91, "", True), (92, rows[0][1], False), (92, rows[0][1], False)]
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 21, 3000])
+def test_scores_are_those_of_the_local_model(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(mixing, "BLOCK_BYTES", block_bytes)
+    rows = mixing_rows()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean")
+    scores = []
+    for partitions in (3, 11):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        try:
+            found = mixing.scored(df.repartition(partitions)).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", 8)
+        scores.append(sorted((str(r.id), r.n_tokens, r.score) for r in found))
+    assert scores[0] == scores[1]
+
+    # the same counts and blocks in one process
+    size = sum(len((t or "").encode()) for _, t, _ in rows)
+    n_blocks = max(1, -(-size // block_bytes))
+    dealt = df.select("*", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block"))
+    blocks = {}
+    for r in dealt.collect():
+        blocks.setdefault(r.block, []).append(r)
+    assert (len(blocks) > 1) == (block_bytes == 3000)
+    counted = mixing.Model()
+    mixing.count(counted, [(t or "").encode() for _, t, held_out in rows if not held_out])
+    weights, refined, total = 0, 0, 0
+    for some in blocks.values():
+        some.sort(key=lambda r: (r.doc_id is None, r.doc_id or 0, r.text is None, (r.text or "").encode()))
+        own = mixing.Model(keys=counted.keys, numbers=counted.numbers)
+        texts = [(r.text or "").encode() for r in some if not r.held_out]
+        n = sum(map(len, texts)) + len(texts)
+        if texts:
+            mixing.learn(own, texts)
+        weights, refined, total = weights + n * own.weights.astype(float), refined + own.refined, total + n
+    model = mixing.Model(counted.keys, counted.numbers, (weights / total).astype(np.float32), refined)
+    texts = [(t or "").encode() for _, t, _ in rows]
+    expected = mixing.log10_probabilities(model, texts)
+    wanted = sorted(zip([str(r[0]) for r in rows], expected.tolist(), strict=True))
+    assert np.allclose([w for _, w in wanted], sorted_scores(scores[0]), rtol=2e-4)
+
+
+def sorted_scores(rows):
+    return [score for _, score in sorted((key, score) for key, _, score in rows)]
+
+
 # --- toxicity -----------------------------------------------------------------------------
 
 
