@@ -1772,6 +1772,33 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_PROFILED = ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+@query(
+    "profile_of_loads",
+    "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, count(*) AS rows, count({c}) AS non_null, "
+        f"min({c})::VARCHAR AS low, max({c})::VARCHAR AS high, true AS near FROM customer"
+        for c in _PROFILED
+    ),
+)
+def profile_of_loads(spark: SparkSession, folder: str) -> DataFrame:
+    """A table's profile from those of its loads; the distinct counts are within 5 % of exact ones."""
+    rows = table(spark, folder, "customer").select(*_PROFILED)
+    path = run_folder(spark, "profiles")
+    load = incremental.append_batch(path, ["c_custkey"], ["c_acctbal"], profiled=True)
+    for n in range(3):
+        load(rows.filter(F.col("c_custkey") % 3 >= n), n)  # loads that overlap
+    found = versions.profile(spark, path, ["c_custkey"])
+    exact = measures.distinct_counts(rows, _PROFILED).unpivot([], list(_PROFILED), "name", "exact")
+    off = F.abs(F.col("about_distinct") - F.col("exact"))
+    return found.join(exact, F.col("column_name") == F.col("name")).select(
+        "column_name", "rows", "non_null", "low", "high",
+        (off <= F.greatest(0.05 * F.col("exact"), F.lit(1))).alias("near"),
+    )
+
+
 @query(
     "stream_sheets",
     """

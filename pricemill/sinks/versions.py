@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricemill.operators import profiles
 from pricemill.sinks.tables import YEAR
 
 VERSION, STATE = "version", "state"
@@ -32,7 +33,7 @@ NOTHING_WRITTEN = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 ENTRY = (
     "load string, batch bigint, replaces array<bigint>, counts map<string, bigint>, "
     "months array<struct<month: date, rows: bigint, first: date, last: date>>, blocks bigint, "
-    "states array<string>, stored_schema string"
+    "states array<string>, stored_schema string, profiled boolean"
 )
 
 #: Bits of a block of key bits, how many a key sets, and how many keys a block takes, about.
@@ -55,6 +56,7 @@ class Entry:
     blocks: int = 0
     states: tuple[str, ...] = ()
     stored_schema: str = ""
+    profiled: bool = False
 
     @property
     def rows(self) -> int:
@@ -84,6 +86,7 @@ def history(spark: SparkSession, path: str) -> list[Entry]:
             r.blocks,
             tuple(r.states),
             r.stored_schema,
+            bool(r.profiled),
         )
         for r in rows
     ]
@@ -202,6 +205,35 @@ def counts(spark: SparkSession, path: str) -> DataFrame:
     return small_frame(spark, found, fields)
 
 
+def write_profile(rows: DataFrame, path: str, version: int) -> None:
+    """The profile of a version's rows, beside them."""
+    own = profiles.profile(rows.drop(*OWN))
+    own.write.mode("overwrite").parquet(f"{path}/_profiles/{VERSION}={version}")
+
+
+def profile(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
+    """The table's profile, one row per column, from those of its versions; None if it has no rows.
+
+    Versions without a profile are read. Rows that others have won against would still count in
+    the profiles of older versions, so a table that has some is read whole; a compaction takes them out.
+    """
+    alive = live(history(spark, path))
+    if not alive:
+        return None
+    if any(WON in e.states for e in alive):
+        return profiles.as_table(profiles.profile(current(spark, path, alive, keys).drop(*OWN)))
+    folder = f"{path}/_profiles"
+    found = None
+    told = [f"{folder}/{VERSION}={e.version}" for e in alive if e.profiled]
+    if told:
+        found = spark.read.option("mergeSchema", True).parquet(*told)
+    others = [e for e in alive if not e.profiled]
+    if others:
+        own = profiles.profile(stored_rows(spark, path, others).drop(*OWN))
+        found = own if found is None else found.unionByName(own, allowMissingColumns=True)
+    return profiles.as_table(profiles.merged(found))
+
+
 # --- which versions may hold a key --------------------------------------------------------
 
 
@@ -362,5 +394,8 @@ def compact(
     written = stored_rows(spark, path, [entry])
     entry = replace(entry, months=merged_months(months(written, day)))
     entry = with_key_bits(written, path, entry, keys)
+    if any(e.profiled for e in chosen):
+        write_profile(written, path, version)
+        entry = replace(entry, profiled=True)
     publish(spark, path, entry)
     return entry

@@ -2,6 +2,7 @@
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -115,6 +116,7 @@ def append_batch(
     day: str | None = None,
     rules: Mapping[str, Column] | None = None,
     winner: str = "first",
+    profiled: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """Function for ``foreachBatch``: clean, check, keep the newest row per key, add what is new.
 
@@ -125,7 +127,8 @@ def append_batch(
     A row whose key the table has is the same, if its other values are; else there is a dispute, which
     ``winner`` decides: ``first`` keeps what is loaded, ``last`` takes what comes, ``newest`` takes it if
     the ``newest`` columns are larger. Either way the row that came is in the table of disputes. What a
-    row's values are is compared by a hash of 64 bits that is stored with it.
+    row's values are is compared by a hash of 64 bits that is stored with it. ``profiled`` batches store
+    a profile of the rows they add, which ``versions.profile`` puts together.
 
     A batch is a version of the table (``sinks.versions``) and is seen once its entry is written. One that
     failed is written anew; one that is run again after that finds its rows by their keys and adds
@@ -180,6 +183,9 @@ def append_batch(
             if states:
                 versions.write_rows(added, path, version, day)
                 entry = versions.with_key_bits(added, path, entry, keys)
+                if profiled:
+                    versions.write_profile(added, path, version)
+                    entry = replace(entry, profiled=True)
             if found[versions.WON] or found["lost"]:
                 disputed = judged.filter(state.isin(versions.WON, "lost")).drop(versions.HASH)
                 disputed.write.mode("overwrite").parquet(f"{path}/_disputes/version={version}")
@@ -215,6 +221,7 @@ def load_new_files(
     day: str | None = None,
     rules: Mapping[str, Column] | None = None,
     winner: str = "first",
+    profiled: bool = False,
 ) -> StreamingQuery:
     """Load all files that are new since the last run, then stop.
 
@@ -223,7 +230,7 @@ def load_new_files(
     return (
         stream.writeStream.option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(append_batch(path, keys, newest, clean, day, rules, winner))
+        .foreachBatch(append_batch(path, keys, newest, clean, day, rules, winner, profiled))
         .start()
     )
 

@@ -8,6 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from pricemill.operators import profiles
 from pricemill.sinks import tables, versions
 from pricemill.streaming import incremental
 
@@ -240,3 +241,44 @@ def test_row_groups_of_a_file_do_not_overlap_in_date(spark, tmp_path, kind):
     assert max(map(len, groups)) > 3
     for listed in groups:
         assert all(a[1] <= b[0] for a, b in zip(listed, listed[1:], strict=False))
+
+
+def profile_rows(df):
+    return {r.column_name: r for r in df.collect()}
+
+
+def test_profiles_of_loads_are_the_tables(spark, tmp_path):
+    run = incremental.append_batch(str(tmp_path), KEYS, ["issue"], day="day", profiled=True)
+    every = []
+    for n in range(3):
+        rows = [(k, D1 + timedelta(k % 40), None if k % 7 else k / 3, n) for k in range(n * 500, n * 500 + 900)]
+        run(spark.createDataFrame(rows, SCHEMA), n)
+        every += rows
+    found = profile_rows(versions.profile(spark, str(tmp_path), KEYS))
+    assert not any("version=" in f and "/state=" in f for f in versions.profile(spark, str(tmp_path), KEYS).inputFiles())
+    whole = profiles.profile(versions.read(spark, str(tmp_path), KEYS).drop("year"))
+    expected = profile_rows(profiles.as_table(whole))
+    assert set(found) == {"k", "day", "price", "issue"}
+    for name, row in found.items():
+        for field in ("dtype", "rows", "non_null", "low", "high"):
+            assert row[field] == expected[name][field], (name, field)
+    assert found["k"].rows == len({(r[0], r[1]) for r in every}) and found["day"].low == "2023-05-01"
+    assert abs(found["k"].about_distinct - 1900) < 0.05 * 1900
+    # a correction: the profiles of the loads would count the row that lost
+    batch(spark, tmp_path, [(0, D1, 5.0, 9)], 3, winner="newest")
+    assert profile_rows(versions.profile(spark, str(tmp_path), KEYS))["k"].rows == found["k"].rows
+    versions.compact(spark, str(tmp_path), KEYS, "day")
+    entry = versions.history(spark, str(tmp_path))[-1]
+    assert entry.profiled and versions.live(versions.history(spark, str(tmp_path))) == [entry]
+    assert profile_rows(versions.profile(spark, str(tmp_path), KEYS))["issue"].high == "9"
+
+
+def test_profiles_of_nothing_and_of_odd_values(spark, tmp_path):
+    assert versions.profile(spark, str(tmp_path), KEYS) is None
+    odd = spark.createDataFrame([(float("nan"), None), (1.5, ""), (None, "é")], "x double, t string")
+    parts = profiles.profile(odd).union(profiles.profile(odd.limit(0)))
+    found = profile_rows(profiles.as_table(profiles.merged(parts)))
+    assert (found["x"].rows, found["x"].non_null, found["x"].low, found["x"].about_distinct) == (3, 1, "1.5", 1)
+    assert (found["t"].non_null, found["t"].low, found["t"].high) == (2, "", "é")
+    none = profile_rows(profiles.as_table(profiles.merged(parts.limit(0))))
+    assert (none["x"].rows, none["x"].non_null, none["x"].low, none["x"].about_distinct) == (0, 0, None, 0)
