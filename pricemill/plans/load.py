@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pricemill.operators import quality
 from pricemill.schemas import PriceTable
+from pricemill.sinks.keys import in_step, without_known, write_keys
 from pricemill.sinks.tables import YEAR, write_table
 from pricemill.sinks.versions import NOTHING_WRITTEN
 from pricemill.streaming.incremental import not_loaded
@@ -33,7 +34,11 @@ def rules_of(table: PriceTable) -> dict[str, Column]:
 
 
 def load(
-    rows: DataFrame, table: PriceTable, path: str, winner: Sequence[str | Column] = ()
+    rows: DataFrame,
+    table: PriceTable,
+    path: str,
+    winner: Sequence[str | Column] = (),
+    key_table: str | None = None,
 ) -> Loaded:
     """Append to the year-partitioned table at ``path`` what it lacks.
 
@@ -42,6 +47,10 @@ def load(
     rows as keys. Keys that the table has already are not added again, so a repeated load, or one
     that overlaps another, adds nothing twice. Only years from the first new date on are read.
     The cleaned rows are kept for the job's passes and computed once.
+
+    ``key_table`` names a bucketed table of the catalog (``sinks.keys``) that holds the target's keys: new
+    rows are then found by it, and the target is neither read nor shuffled. If a load has failed
+    before its keys were written, the next one makes that table anew from the target.
     """
     spark = rows.sparkSession
     columns = table.stored.fieldNames()
@@ -63,15 +72,23 @@ def load(
         except AnalysisException as missing:
             if missing.getCondition() not in NOTHING_WRITTEN:
                 raise
-        else:
+            before = None
+        if before is not None and key_table is None:
             bound = F.lit(first).cast("date") if first is not None else None
             # a key may have moved to another date: only keys with the date in them prune by it
             day = table.date if table.date in keys else None
             new = not_loaded(new, before, keys, day, bound)
+        elif before is not None:
+            if not in_step(spark, key_table, before):
+                write_keys(before, key_table, keys, mode="overwrite", location=f"{path}_keys")
+            new = without_known(new, key_table, keys)
         kept.append(new.persist())
         added = new.count()
         if added:
             write_table(new.select(*columns), path, table.date)
+            if key_table is not None:
+                mode = "overwrite" if before is None else "append"
+                write_keys(new, key_table, keys, mode=mode, location=f"{path}_keys")
     finally:
         for frame in kept:
             frame.unpersist()

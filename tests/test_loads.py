@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pricemill import schemas
 from pricemill.operators import filters, measures
 from pricemill.plans import grain, horticulture, livestock, load
+from pricemill.sinks import keys
 from pricemill.sinks import tables as sinks
 from pricemill.sources import files
 from pricemill.streaming import incremental
@@ -251,3 +252,46 @@ def test_bad_sheets_stay_out_while_the_others_load(spark, tmp_path):
     assert [r.Deals for r in long.collect()] == ["7"]
     with pytest.raises(Exception, match="the sheet (lacks|is too wide)"):
         grain.read_sheets(spark, str(tmp_path), markets).collect()
+
+
+def test_keys_are_found_without_a_shuffle_of_the_table(spark, tmp_path):
+    name, keys_ = "some_keys", ["k", "day"]
+    frame = lambda *rows: spark.createDataFrame(list(rows), "k bigint, day date, x int")
+    day = date(2023, 5, 1)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert keys.in_step(spark, name, None) and not keys.in_step(spark, name, frame())
+        first = frame((1, day, 1), (None, day, 1), (2, None, 1))
+        keys.write_keys(first, name, keys_, buckets=4, location=str(tmp_path / "keys"))
+        keys.write_keys(frame((3, day, 1)), name, keys_, buckets=4)
+        assert keys.in_step(spark, name, frame(*[(k, day, 1) for k in range(4)]))
+        new = keys.without_known(
+            frame((1, day, 2), (None, day, 2), (2, None, 2), (2, day, 2), (None, None, 2)), name, keys_
+        )
+        assert sorted((r.k, r.day) for r in new.collect() if r.k) == [(2, day)] and new.count() == 2
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_a_key_table_that_missed_a_load_is_made_anew(spark, tmp_path):
+    name, path = "cattle_keys", str(tmp_path / "t")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    texts = lambda *n: spark.createDataFrame(
+        [(f"f{k}", report(10).replace("2023/05/01", f"2023/05/0{k}")) for k in n],
+        "file_path string, text string",
+    )
+    rows = lambda *n: livestock.cattle(livestock.report_rows(texts(*n)))
+    try:
+        assert load.load(rows(1), schemas.CATTLE, path, key_table=name).added == 2
+        assert load.load(rows(2), schemas.CATTLE, path).added == 2  # without its keys
+        assert load.load(rows(1, 2, 3), schemas.CATTLE, path, key_table=name).added == 2
+        assert load.load(rows(1, 2, 3), schemas.CATTLE, path, key_table=name).added == 0
+        assert load.read(spark, path).count() == 6 and spark.table(name).count() == 6
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
