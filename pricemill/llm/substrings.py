@@ -109,9 +109,11 @@ class Windows:
 
 
 def _in_order(block: pa.Table) -> tuple[list[int], list]:
-    """The block's distinct documents by id, then text: place of each row, and (id, text)."""
-    rows = list(zip(block["ord"].to_pylist(), block["text"].to_pylist(), strict=True))
-    order = sorted(set(rows), key=lambda row: (row[0], row[1] is not None, row[1] or ""))
+    """The block's distinct documents by id, hash of the text and text: place of each row, and
+    (id, hash, text)."""
+    columns = (block[name].to_pylist() for name in ("ord", "spot", "text"))
+    rows = list(zip(*columns, strict=True))
+    order = sorted(set(rows), key=lambda row: (*row[:2], row[2] is not None, row[2] or ""))
     place = {row: k for k, row in enumerate(order)}
     return [place[row] for row in rows], order
 
@@ -133,7 +135,8 @@ def remove_repeats(
 
     NULL and empty texts have no words. A NULL id comes before all others. Rows equal in id and
     text are one document and get equal results; rows of one id with different texts follow each
-    other in the order of their texts. An empty table gives an empty one.
+    other in the order of a hash of their texts, by which an id of many rows is cut into several blocks.
+    An empty table gives an empty one.
     """
     rows = pick(df, ord=id_column, text=text_column)
     found = _judged(rows, width)
@@ -172,7 +175,12 @@ RESULT_SCHEMA = [
 def _judged(rows: DataFrame, width: int) -> DataFrame:
     """Rows with ``ord`` and ``text``, and what RESULT names beside them."""
     spark = rows.sparkSession
-    rows = rows.withColumn("ord", F.coalesce(F.col("ord").cast("bigint"), F.lit(NO_ID)))
+    rows = rows.withColumns(
+        {
+            "ord": F.coalesce(F.col("ord").cast("bigint"), F.lit(NO_ID)),
+            "spot": F.xxhash64("text"),
+        }
+    )
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(4 * shuffle_partitions(spark), ceil(total / BLOCK_BYTES))
     windows = max(total / 6, 1)
@@ -184,12 +192,15 @@ def _judged(rows: DataFrame, width: int) -> DataFrame:
     )
 
     @F.pandas_udf("bigint")
-    def block_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, ids.to_numpy(), side="left"))
+    def block_of(ids: pd.Series, spots: pd.Series) -> pd.Series:
+        first, last = (np.searchsorted(edges, ids.to_numpy(), side=s) for s in ("left", "right"))
+        # an id at several edges is cut by the texts' hashes, in their order
+        share = spots.to_numpy() / 2.0**64 + 0.5
+        return pd.Series(np.minimum(first + ((last - first + 1) * share).astype(np.int64), last))
 
     def send(block: pa.Table) -> pa.Table:
         _, order = _in_order(block)
-        sent = list(Windows([text for _, text in order], width, bits).sent())
+        sent = list(Windows([text for _, _, text in order], width, bits).sent())
         return pa.table(
             {
                 "block": pa.array([block["block"][0].as_py()] * len(sent), pa.int64()),
@@ -215,11 +226,11 @@ def _judged(rows: DataFrame, width: int) -> DataFrame:
 
     def cut(block: pa.Table, replies: pa.Table) -> pa.Table:
         places, order = _in_order(block)
-        found = Windows([text for _, text in order], width, bits)
+        found = Windows([text for _, _, text in order], width, bits)
         flags = zip(replies["bucket"].to_pylist(), replies["flags"].to_pylist(), strict=True)
         gone = found.covered(dict(flags), width)
         results = []
-        for k, (_, text) in enumerate(order):
+        for k, (_, _, text) in enumerate(order):
             a, n = int(found.first_word[k]), int(found.n_words[k])
             lost = gone[a : a + n]
             words = text.encode().split() if n else []
@@ -235,7 +246,7 @@ def _judged(rows: DataFrame, width: int) -> DataFrame:
             block = block.append_column(name, pa.array([results[p][k] for p in places], kind))
         return block
 
-    blocks = rows.withColumn("block", block_of("ord"))
+    blocks = rows.withColumn("block", block_of("ord", "spot"))
     sent = blocks.groupBy("block").applyInArrow(send, "block bigint, bucket bigint, hashes binary")
     replies = sent.groupBy("bucket").applyInPandas(
         meet, "block bigint, bucket bigint, flags binary"
