@@ -149,7 +149,8 @@ def judged(
     frequent = frequent_lines(rows, min_documents, share)
     columns = rows.columns
     if frequent.count() <= broadcast_lines:
-        listed = F.broadcast(_dealt(frequent))
+        # so few rows are put together in one task, without a shuffle for each step
+        listed = F.broadcast(_dealt(frequent.coalesce(1)))
         rows = rows.alias("r").join(
             listed.alias("f"), F.col("r.host").eqNullSafe(F.col("f.host")), "left"
         )
