@@ -556,9 +556,9 @@ def sampled_windows(
 
     of = rows.filter(F.col("id").isin(list(chosen))).select("id", "text")
     found = of.mapInPandas(cut, "id bigint, words string").distinct().collect()
-    windows = []
+    windows, same = [], {}
     for row in sorted(found):
-        words = row["words"].split()
+        words = [same.setdefault(word, word) for word in row["words"].split()]  # one object each
         windows += [
             (row["id"], chosen[row["id"]], words[k : k + WINDOW])
             for k in window_starts(len(words)).tolist()
