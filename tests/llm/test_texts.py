@@ -7,6 +7,7 @@ from math import log10
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -31,8 +32,14 @@ def words(text):
     return (text or "").encode().split()
 
 
+def spot(text):
+    """The hash that Spark takes of a text, NULL being 42."""
+    number = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+    return number - (1 << 64) if number >> 63 else number
+
+
 def order(row):
-    return (row[0] is not None, row[0] or 0, row[1] is not None, row[1] or "")
+    return (row[0] is not None, row[0] or 0, spot(row[1]), row[1] is not None, row[1] or "")
 
 
 # --- SimHash ------------------------------------------------------------------------------
@@ -210,6 +217,25 @@ def test_repeated_passages_like_brute_force(odd, none, awkward_rows, width):
     assert substrings.remove_repeats(none, width=width).count() == 0
 
 
+@pytest.mark.parametrize("hot", [50, None, 0])
+def test_an_id_of_many_rows_is_cut_into_blocks(spark, hot):
+    dice = random.Random(3)
+    shared = [" ".join(dice.choices("abcdefghij", k=25)) for _ in range(6)]
+    rows = []
+    for k in range(300):
+        own = [" ".join(f"w{dice.randrange(5000)}" for _ in range(30)) for _ in range(2)]
+        rows.append((hot if k % 3 else k, f" {dice.choice(shared)} ".join(own)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    expected = brute_repeats(rows, 20)
+    found = substrings.remove_repeats(frame, width=20)
+    assert Counter((r.id, r.n_words, r.n_removed, r.kept) for r in found.collect()) == Counter(
+        (row[0], *expected[row]) for row in rows
+    )
+    rows = frame.withColumnRenamed("doc_id", "ord")
+    blocks = substrings._judged(rows, 20).groupBy("block").count().collect()
+    assert max(r["count"] for r in blocks) < 60  # of 300, 200 of them of one id
+
+
 def test_texts_without_repeats_keep_their_columns(odd, none):
     found = substrings.without_repeats(odd, width=20)
     assert found.columns == odd.columns
