@@ -1,5 +1,6 @@
 """Byte pair encoding by an automaton that is compiled from the merges."""
 
+import functools
 import json
 import re
 from collections.abc import Iterator
@@ -11,6 +12,8 @@ from pricemill.llm.common import BLANK, LETTERS, PLAIN, byte_characters, pick
 
 #: Distinct words that a task remembers at most.
 REMEMBERED = 300_000
+#: Arcs that it remembers, beside those lost, of which there are as many as merges.
+REMEMBERED_ARCS = 2_000_000
 START = -1
 #: How the file's pre-tokenizer cuts plain texts in lower case.
 WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[^{BLANK}a-z0-9{LETTERS}]+")
@@ -176,6 +179,8 @@ class Tokenizer:
         if len(self.ids) > REMEMBERED:
             self.ids.clear()
             self.labels.clear()
+        if len(self.automaton.arcs) > REMEMBERED_ARCS:
+            self.automaton.arcs.clear()
         for word in set(words).difference(self.ids):
             self.ids[word], self.labels[word] = self._emitted(
                 self.automaton.encode(word.encode())
@@ -197,6 +202,12 @@ class Tokenizer:
         return ids, labels[1:]
 
 
+@functools.lru_cache(maxsize=1)
+def tokenizer_of(path: str) -> Tokenizer:
+    """The compiled automaton of a file: once for each worker process, whose tasks share it."""
+    return Tokenizer(path)
+
+
 def tokenized(
     df: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -204,12 +215,13 @@ def tokenized(
 
     ``tokenizer`` is the path of a BPE file with word ends that the workers can read. ``ids`` holds
     little-endian unsigned 32-bit numbers, ``decoded`` the text they decode to, special tokens
-    included. NULL and empty texts have no ids and decode to an empty text.
+    included. NULL and empty texts have no ids and decode to an empty text. Each row is encoded for
+    itself, repeated or not. An empty table gives an empty one.
     """
     rows = pick(df, id=id_column, text=text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Tokenizer(tokenizer)
+        coder = tokenizer_of(tokenizer)
         for batch in batches:
             for k in range(0, len(batch), 200):
                 some = batch.slice(k, 200)
