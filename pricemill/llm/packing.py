@@ -72,7 +72,8 @@ def pieces(
     """(id, piece, start, length, ids) of each row: its ids and then the end id.
 
     Rows of more than ``capacity`` ids are cut into pieces of just that many, the first of which may
-    be shorter. ``ids`` holds little-endian unsigned 32-bit numbers. A NULL text is an empty one.
+    be shorter. ``ids`` holds little-endian unsigned 32-bit numbers. A NULL text is an empty one. Rows
+    that repeat give their pieces again, a NULL id is kept, and an empty table gives an empty one.
     ``tokenizer`` is the path of a byte-level BPE file that the workers can read.
     """
     rows = pick(df, id=id_column, text=text_column)
@@ -238,7 +239,8 @@ def pack(pieces: DataFrame, capacity: int = 1024) -> DataFrame:
     ``pieces`` has id, piece and length, and any other columns. The driver sees the number of
     pieces of each length (as many rows as the capacity, at most) and plans the sequences by them;
     the pieces of a length are numbered in groups on the executors and look up their places.
-    Offsets of a sequence run from 0 without gaps. An empty table gives an empty one.
+    Offsets of a sequence run from 0 without gaps. Pieces that repeat, or have no id, are pieces like
+    others, each with a place of its own. An empty table gives an empty one.
     """
     spark = pieces.sparkSession
     pieces = stored(pieces, "pieces")

@@ -249,7 +249,11 @@ def keep_good(
     host_column: str = "source",
     **rules: float,
 ) -> DataFrame:
-    """The kept rows, their shared lines taken out of the text; all columns stay."""
+    """The kept rows, their shared lines taken out of the text; all columns stay.
+
+    NULL and empty texts fail and go. Rows that repeat are judged alike and all stay or all go. An empty
+    table gives an empty one.
+    """
     plain = df.toDF(*(f"_{k}" for k in range(len(df.columns))))
     at = df.columns.index(text_column)
     rows = plain.withColumns({"host": F.col(f"_{df.columns.index(host_column)}")})

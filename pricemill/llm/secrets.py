@@ -175,7 +175,11 @@ def scanned(
     max_owners: int = 1,
     max_repositories: int = 1,
 ) -> DataFrame:
-    """(id, spans) for every row, with an empty array where there is no secret."""
+    """(id, spans) for every row, with an empty array where there is no secret.
+
+    NULL and empty texts have none. Rows that repeat get equal spans, each for itself; a NULL id is an id
+    like others. An empty table gives an empty one.
+    """
     limits = max_owners, max_repositories
     found = secrets(df, id_column, text_column, repository_column, owner_column, *limits)
     found = stored(found, "secrets").alias("f")
@@ -199,7 +203,8 @@ def without_secrets(
 ) -> DataFrame:
     """The rows with each run of secrets in the text replaced by a mask; all columns stay.
 
-    Runs with a live secret get ``mask``, those of copied examples alone ``example_mask``.
+    Runs with a live secret get ``mask``, those of copied examples alone ``example_mask``. Rows without a
+    secret, NULL and empty texts among them, stay as they are, and all rows stay, repeated or not.
     """
     limits = max_owners, max_repositories
     found = secrets(df, id_column, text_column, repository_column, owner_column, *limits)

@@ -174,7 +174,7 @@ def record(row: dict) -> bytes:
     fields = [
         ("WARC-Type", "revisit" if revisit else "response"),
         ("WARC-Record-ID", f"<urn:page:{row['page_id']}>"),
-        ("WARC-Target-URI", row["url"]),
+        *([("WARC-Target-URI", row["url"])] if row["url"] is not None else []),
         ("WARC-Date", "2024-01-01T00:00:00Z"),
         ("WARC-Payload-Digest", f"sha1:{row['payload_digest']}"),
         ("WARC-Payload-Length", str(row["payload_bytes"])),
@@ -376,7 +376,7 @@ def _page(fields: dict[str, str], payload: bytes) -> tuple:
     number = lambda name: _page_number(fields.get(name))
     return (
         number("WARC-Record-ID"),
-        None if fields["WARC-Target-URI"] == "None" else fields["WARC-Target-URI"],
+        fields.get("WARC-Target-URI"),
         kind,
         number("WARC-Refers-To"),
         payload if kind == "response" else None,

@@ -112,6 +112,7 @@ def test_pages_come_back_whole(spark):
     big, other = "é" * 600, "x" * 999
     rows = [(k, f"http://a/{k}", big) for k in range(30)]
     rows += [(100, "u", other), (101, "u", other), (102, None, None), (103, "a\r\nb", "")]
+    rows += [(110, "None", "z"), (111, "", "z")]  # a url that says so, and none
     rows += [(104, "u", "y" * 300_000), (29, "again", big), (None, "u", big), (3, "u", "z" * 2000)]
     frame = spark.createDataFrame([(*r, "c") for r in rows], PAGES).repartition(4)
     found = warc.archived(frame).collect()
@@ -132,6 +133,7 @@ def test_pages_come_back_whole(spark):
     assert sorted(got, key=same) == sorted(expected, key=same)
     assert payload[sha1(big.encode()).hexdigest()] == big.encode()
     assert {r.url for r in found if r.page_id in (102, 103)} == {None, "a b"}
+    assert {r.page_id: r.url for r in found if r.page_id in (110, 111)} == {110: "None", 111: ""}
     assert warc.archived(spark.createDataFrame([], PAGES)).count() == 0
 
 

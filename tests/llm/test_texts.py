@@ -69,7 +69,6 @@ def close(prints, radius):
 
 
 def test_fingerprint_follows_its_definition():
-    import xxhash
 
     text = "The quick  Brown fox\njumps É the quick brown fox jumps"
     listed = text.encode().lower().split()
