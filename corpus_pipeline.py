@@ -26,27 +26,33 @@ def counted(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules, without the lines that too many of their host share."""
+    """Documents that pass the rules, without the lines that too many of their host share.
+
+    NULL and empty texts go; rows that repeat are judged alike. No documents, no rows: so for all stages.
+    """
     return counted(quality.keep_good(docs, share=SHARE))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, whatever their ids; repeated rows are a group."""
     return simhash.keep_one(docs, shingle=4, radius=4)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of 20 words and more that start earlier in the corpus."""
+    """Documents without passages of 20 words and more that start earlier in the corpus.
+
+    Those that lose all their words go; NULL and empty texts have none and stay.
+    """
     return counted(substrings.without_repeats(docs, width=20))
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their secrets masked."""
+    """Documents with their secrets masked; all rows stay, those with NULL texts as they are."""
     return counted(secrets.without_secrets(docs, **secrets.WIDELY))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents' pieces and their places in training sequences."""
+    """The documents' pieces and their places in training sequences; a NULL text is an empty one."""
     return packed(docs)
 
 
@@ -63,7 +69,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; each stage's result is written and read again."""
+    """All stages over the documents; each stage's result is written and read again.
+
+    Extra columns are carried to the last stage, which returns pieces. No documents, no pieces.
+    """
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
