@@ -17,6 +17,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Rows of a table that become reports in one task.
+REPORTS_A_TASK = 25_000
+
+
+def dealt_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose rows become reports, which are many times larger: in tasks of some rows each.
+
+    A scan is cut by the bytes and row groups of the table, so a few MB of it, and all the reports
+    that they become, would be one task. The count comes from the files' footers; rows are dealt out
+    in turn, so keys that are NULL or repeat don't matter.
+    """
+    rows = table(spark, folder, name)
+    tasks = -(-rows.count() // REPORTS_A_TASK)
+    return rows.repartition(max(tasks, spark.sparkContext.defaultParallelism))
+
+
 def grain(spark: SparkSession, folder: str) -> DataFrame:
     """``lineitem`` as grain contracts: monthly uploads, twelve contract months each."""
     lines = table(spark, folder, "lineitem")

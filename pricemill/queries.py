@@ -16,7 +16,13 @@ from pricemill import schemas
 from pricemill.functions import dates, numbers, text
 from pricemill.operators import filters, measures, ordered, quality, shape
 from pricemill.plans import grain, horticulture, livestock, load, standins
-from pricemill.plans.standins import GRAIN_SQL, HORTICULTURE_SQL, LIVESTOCK_SQL, table
+from pricemill.plans.standins import (
+    GRAIN_SQL,
+    HORTICULTURE_SQL,
+    LIVESTOCK_SQL,
+    dealt_table,
+    table,
+)
 from pricemill.schemas import CATTLE
 from pricemill.session import run_folder
 from pricemill.sinks import tables as sinks
@@ -814,7 +820,7 @@ def _grain_rows(spark: SparkSession, folder: str) -> DataFrame:
         # No volatility: an incomplete row, which the clean-up drops.
         _csv(day, F.col("o_orderkey"), "2", "7", "1", "1", price, "1", "1", "1", price, " ", contract),
     )
-    texts = table(spark, folder, "orders").select(
+    texts = dealt_table(spark, folder, "orders").select(
         F.col("o_orderkey").cast("string").alias("file_path"),
         F.concat(F.lit(" "), F.col("o_orderpriority")).alias("market_name"),
         F.lit("m").alias("market_code"),
@@ -860,7 +866,7 @@ def _horticulture_rows(spark: SparkSession, folder: str) -> DataFrame:
 
     price = F.col("p_retailprice").cast("string")
     blank = ",,,,,,,,,,,,"
-    texts = table(spark, folder, "part").select(
+    texts = dealt_table(spark, folder, "part").select(
         F.concat(
             F.lit("file:/in/Market%20"), F.col("p_type"), F.lit("_m_t/"), F.col("p_partkey")
         ).alias("file_path"),
@@ -905,7 +911,7 @@ def _mixed_sheets(spark: SparkSession, folder: str) -> DataFrame:
         _text("title", head, ",,,,,"),
     ]
     text = F.get(F.array(*kinds), (F.col("o_orderkey") % len(kinds)).cast("int"))
-    return table(spark, folder, "orders").select(
+    return dealt_table(spark, folder, "orders").select(
         F.col("o_orderkey").cast("string").alias("file_path"), text.alias("text")
     )
 
@@ -945,7 +951,7 @@ def mixed_sheets(spark: SparkSession, folder: str) -> DataFrame:
 def _reports(spark: SparkSession, folder: str) -> DataFrame:
     """A slaughter report of 52 lines per customer, with the decimal comma."""
     plain = F.translate(F.format_number("c_acctbal", 2), ",", "")
-    customers = table(spark, folder, "customer").select(
+    customers = dealt_table(spark, folder, "customer").select(
         "c_custkey", F.translate(plain, ".", ",").alias("amount")
     )
     amount = F.col("amount")
@@ -1876,7 +1882,7 @@ def _sheet_loads(spark: SparkSession, folder: str, broken: bool) -> str:
     bid = F.when(F.lit(broken) & (key % 5 == 0), F.lit(" ")).otherwise(F.lit("1"))
     day = F.when(F.lit(broken) & (key % 7 == 0), F.lit("soon")).otherwise(day)
     line = _csv(contract, "1", bid, "1", "1", "1", price, *["1"] * 4, key, day)
-    rows = table(spark, folder, "orders").select(
+    rows = dealt_table(spark, folder, "orders").select(
         line.alias("line"), "o_orderkey", "o_orderpriority", F.spark_partition_id().alias("part")
     )
     path = run_folder(spark, "sheets")
@@ -1887,7 +1893,9 @@ def _sheet_loads(spark: SparkSession, folder: str, broken: bool) -> str:
         sheets = some.groupBy("o_orderpriority", "part").agg(
             F.concat_ws("\n", *head, body).alias("value")
         )
-        sheets.drop("part").write.partitionBy("o_orderpriority").text(f"{path}/in/{name}")
+        # A file is read as one sheet, so it has one, and a sheet has no more rows than a part.
+        writer = sheets.drop("part").write.option("maxRecordsPerFile", 1)
+        writer.partitionBy("o_orderpriority").text(f"{path}/in/{name}")
 
     def clean(texts: DataFrame) -> DataFrame:
         market = F.regexp_extract(files.plain_path("file_path"), "o_orderpriority=([^/]*)/", 1)
