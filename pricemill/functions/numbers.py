@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pricemill.functions import ColumnLike, as_column
+from pricemill.functions import ColumnLike, as_column, bound
 from pricemill.functions.text import strip
 
 WHOLE_TYPES = ("int", "bigint")
@@ -14,11 +14,21 @@ def plain_number(c: ColumnLike, kind: str = "double") -> Column:
 
     Whole kinds drop the fraction ('1.5' is 1) and give NULL when the value does not fit.
     """
-    text = strip(as_column(c).cast("string"))
-    real = F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+    text = as_column(c).cast("string")
     if kind not in WHOLE_TYPES:
+        real = F.nanvl(bound(text, _real), F.lit(None).cast("double"))
         return real if kind == "double" else real.try_cast(kind)
-    # The direct cast keeps all digits of long numbers; the detour over double takes fractions.
+    return bound(text, lambda t: F.coalesce(t.try_cast(kind), _whole(strip(t), kind)))
+
+
+def _real(text: Column) -> Column:
+    """A cast passes over white space of ASCII, so only text that it can't read is stripped."""
+    return F.coalesce(text.try_cast("double"), strip(text).try_cast("double"))
+
+
+def _whole(text: Column, kind: str) -> Column:
+    """The direct cast keeps all digits of long numbers; the detour over double takes fractions."""
+    real = F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
     return F.coalesce(text.try_cast(kind), real.try_cast(kind))
 
 

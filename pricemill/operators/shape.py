@@ -73,6 +73,10 @@ def text_to_double(df: DataFrame, between: tuple[str, str] | None = None) -> Dat
     return df.withColumns(picked) if picked else df
 
 
+#: So many text columns of one parsing function are parsed together.
+SHARED = 3
+
+
 def conform(
     df: DataFrame,
     schema: T.StructType,
@@ -83,14 +87,30 @@ def conform(
     A column listed in ``parse`` goes through that function; other numbers through
     ``plain_number`` and other dates through ``parse_date``, so nothing raises on bad text. A
     column the frame lacks becomes NULL.
+
+    Text columns that share a function go through it as one array. Written out for each of them, the
+    stage's generated code would pass the 8000 bytes beyond which the JVM only interprets it.
     """
     parse = parse or {}
     types = dict(df.dtypes)
+    alike: dict[Callable[[Column], Column], list[str]] = {}
+    for f in schema.fields:
+        if f.name in parse and types.get(f.name) == "string":
+            alike.setdefault(parse[f.name], []).append(f.name)
+    shared, arrays = {}, {}
+    for n, (function, names) in enumerate(alike.items()):
+        if len(names) >= SHARED:
+            arrays[f"_shared_{n}"] = F.transform(F.array(*names), function)
+            shared |= {name: F.get(F.col(f"_shared_{n}"), i) for i, name in enumerate(names)}
+    if arrays:
+        df = df.withColumns(arrays)
     out = []
     for f in schema.fields:
         kind = f.dataType.simpleString()
         if f.name not in types:
             value = F.lit(None)
+        elif f.name in shared:
+            value = shared[f.name]
         elif f.name in parse:
             value = parse[f.name](F.col(f.name))
         elif types[f.name] != "string":

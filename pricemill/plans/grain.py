@@ -3,7 +3,7 @@
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from pricemill.functions import dates, text
 from pricemill.functions.numbers import thousands_number
@@ -30,17 +30,18 @@ SHEET_COLUMNS = (
 MARKET_COLUMNS = ("market_name", "market_code", "market_type")
 
 
-def _thousands(kind: str):
-    return lambda c: thousands_number(c, kind)
+def _whole(c: Column) -> Column:
+    return thousands_number(c, "bigint")
 
 
 PARSE = {
-    **{
-        c: _thousands("double")
-        for c in ("volatility", "bid", "offer", "market_to_market", "first", "last", "high", "low")
-    },
-    "contracts": _thousands("bigint"),
-    "value": _thousands("bigint"),
+    # One function for all prices: they are parsed together.
+    **dict.fromkeys(
+        ("volatility", "bid", "offer", "market_to_market", "first", "last", "high", "low"),
+        lambda c: thousands_number(c),
+    ),
+    "contracts": _whole,
+    "value": _whole,
     "upload_date": lambda c: dates.parse_date(c, dates.SHEET_DATE),
     **{c: text.strip for c in MARKET_COLUMNS},
 }

@@ -1,11 +1,12 @@
 """Delimited files: typed and text scans, sheets with a title line, file attributes."""
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricemill.functions import bound
 from pricemill.functions.text import snake_name, strip
 from pricemill.operators.ordered import top_per_group
 from pricemill.operators.shape import computed_once
@@ -115,11 +116,6 @@ OPEN_QUOTE = r'^(?:"(?:[^"]++|"")*+"[^,]*+,|[^",][^,]*+,|,)*+"(?:[^"]++|"")*+$'
 _CSV_SCHEMA = ", ".join(f"c{i} string" for i in range(WIDTH))
 
 
-def bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` names it."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def records_of(text: Column) -> Column:
     """Delimited records of a whole text; line breaks in quoted fields stay inside."""
     return F.regexp_extract_all(text, F.lit(RECORD), F.lit(1))
@@ -179,12 +175,16 @@ def _fault(
 ) -> Column:
     """What is wrong with a header: it is too wide, or lacks a required column. NULL if nothing is, or
     if there is no header."""
+    # So many fields need as many commas; most headers have too few to count the fields.
+    many = F.substring_index(header, ",", WIDTH - 1) != header
     fields = F.regexp_count(header, F.lit(f"{FIELD}(?:,|$)"))
-    lacking = [
-        F.when(F.get(places, list(names).index(n)) == 0, F.lit(n)) for n in required
-    ]
-    lacks = F.nullif(F.concat_ws(", ", *lacking), F.lit(""))
-    return F.when(fields > WIDTH + 1, F.lit("the sheet is too wide")).when(
+    # One expression for all columns, in the order of ``required``: see ``shape.conform``.
+    wanted = F.array(*[F.lit(n) for n in required], F.lit(None).cast("string"))
+    at = F.array(*[F.lit(list(names).index(n)) for n in required], F.lit(None).cast("int"))
+    lacking = F.transform(at, lambda i, k: F.when(F.get(places, i) == 0, F.get(wanted, k)))
+    lacks = F.nullif(F.concat_ws(", ", lacking), F.lit(""))
+    wide = many & (fields > WIDTH + 1)
+    return F.when(wide, F.lit("the sheet is too wide")).when(
         header.isNotNull(), F.concat(F.lit("the sheet lacks a column: "), lacks)
     )
 
