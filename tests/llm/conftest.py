@@ -42,6 +42,13 @@ def awkward():
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, Text string"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def forgotten(spark):
+    """Frames that tests have cached are of no other module's concern: some count what is kept."""
+    yield
+    spark.catalog.clearCache()
+
+
 @pytest.fixture(scope="session")
 def awkward_rows():
     return awkward()
