@@ -664,6 +664,43 @@ def test_scores_are_those_of_the_local_model(spark, monkeypatch, block_bytes):
     assert np.allclose([w for _, w in wanted], sorted_scores(scores[0]), rtol=2e-4)
 
 
+def test_numbers_are_sent_whole():
+    for most in (1, 1 << 8, 1 << 16, 1 << 32, 1 << 60):
+        numbers = np.random.default_rng(3).integers(0, most, (9, 50), np.uint64)
+        assert (mixing._got(mixing._sent(numbers)).reshape(9, -1) == numbers).all()
+    levels = np.array([[0.0, 3.0], [1 << 25, 7.0]], np.float32)
+    assert (mixing._got(mixing._sent(levels)).reshape(2, -1) == levels).all()
+    assert len(mixing._got(mixing._sent(np.zeros(0, np.uint64)))) == 0
+
+
+def test_distinct_keys_are_in_order():
+    dice = np.random.default_rng(4)
+    near = np.uint64(9) << np.uint64(40)  # contexts that agree in the bits which are sorted first
+    for keys in (
+        dice.integers(0, 1 << 63, 5000, np.uint64),
+        dice.integers(0, 600, 5000, np.uint64),
+        near + dice.integers(0, 1 << 12, 5000, np.uint64),
+        np.zeros(0, np.uint64),
+    ):
+        unique, places = mixing._unique(keys)
+        assert (unique == np.unique(keys)).all() and (unique[places] == keys).all()
+
+
+def test_exchanged_counts_are_small(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("pricemill.llm.common.shared_folder", lambda _: str(tmp_path))
+    dice = random.Random(2)
+    words = ["".join(dice.choices("abcdefgh", k=dice.randrange(2, 9))) for _ in range(900)]
+    texts = [" ".join(dice.choices(words, k=400)) for _ in range(100)]
+    rows = [(k, text, False) for k, text in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean")
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup)
+    assert mixing.scored(df).count() == 100
+    assert spark.conf.get(cleanup) == before
+    kept = sum(f.stat().st_size for f in tmp_path.rglob("contexts-*/**/*.parquet"))
+    assert 0 < kept < 3 * sum(map(len, texts))
+
+
 def sorted_scores(rows):
     return [score for _, score in sorted((key, score) for key, _, score in rows)]
 
