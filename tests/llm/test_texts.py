@@ -701,6 +701,40 @@ def test_exchanged_counts_are_small(spark, tmp_path, monkeypatch):
     assert 0 < kept < 3 * sum(map(len, texts))
 
 
+def test_compiled_loops_like_the_local_model(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK_BYTES", 1 << 24)
+    dice = random.Random(21)
+    stems = ["x", "é", "common-beginnings-of-long-words-", "ÿ0", "a" * 40, ""]
+    words = [dice.choice(stems) + "".join(dice.choices("abcü", k=dice.randrange(4))) for _ in range(300)]
+    ends = " \n\t\x01\x00\x1f\r"
+    text = lambda: "".join(dice.choice(words) + dice.choice(ends) for _ in range(dice.randrange(200)))
+    rows = [(k, text() + "end" * (k % 2), k % 4 == 0) for k in range(80)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, held_out boolean")
+    found = {r.id: r for r in mixing.scored(df).collect()}
+    model = mixing.Model()
+    mixing.count(model, [t.encode() for _, t, held_out in rows if not held_out])
+    learned = mixing.Model(model.keys, model.numbers)
+    mixing.learn(learned, [t.encode() for _, t, held_out in rows if not held_out])
+    expected = mixing.log10_probabilities(learned, [t.encode() for _, t, _ in rows])
+    assert np.allclose([found[k].score for k, *_ in rows], expected, rtol=2e-5)
+    assert [found[k].n_tokens for k, *_ in rows] == [len(mixing.tokens(t)) for _, t, _ in rows]
+
+
+def test_scores_need_no_python_workers(spark):
+    rows = [(k, f"some words {k} of a text", k % 3 == 0) for k in range(20)]
+    df = spark.createDataFrame(rows, "id bigint, text string, held_out boolean")
+    shelved = mixing.shelves(df.coalesce(1), 3, 2)
+    plans = [shelved, *(mixing.counts(shelved, 4, turn) for turn in mixing.TURNS)]
+    for plan in plans:
+        shown = plan._jdf.queryExecution().toString()
+        assert "mapPartitions" in shown.replace("MapPartitions", "mapPartitions")
+        assert not any(step in shown for step in ("InPandas", "InArrow", "EvalPython"))
+    answers = plans[1].collect()
+    totals = [np.frombuffer(r.data, ">i8") for r in answers if r.shelf < 0]
+    known = [t for k, text, held_out in rows if not held_out for t in mixing.tokens(text)]
+    assert sum(totals).tolist() == [len(known), len(set(known))]
+
+
 def sorted_scores(rows):
     return [score for _, score in sorted((key, score) for key, _, score in rows)]
 
